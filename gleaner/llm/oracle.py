@@ -6,19 +6,19 @@ from gleaner.llm.quality import RULES
 
 _MEASURES = r"""
 word AS (
-  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS at
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
   FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents)
 ),
 triple AS (
-  SELECT doc_id, word, at, (word || ' ' || (lead(word) OVER d) || ' ' || (lead(word, 2) OVER d)) AS three
-  FROM word WINDOW d AS (PARTITION BY doc_id ORDER BY at)
+  SELECT doc_id, word, pos, (word || ' ' || (lead(word) OVER d) || ' ' || (lead(word, 2) OVER d)) AS three
+  FROM word WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
 ),
 found AS (
-  SELECT doc_id, word, at, three IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, three) > 1 AS again FROM triple
+  SELECT doc_id, word, pos, three IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, three) > 1 AS again FROM triple
 ),
 covered AS (
   SELECT doc_id, word, again OR coalesce(lag(again) OVER d, false) OR coalesce(lag(again, 2) OVER d, false) AS inside
-  FROM found WINDOW d AS (PARTITION BY doc_id ORDER BY at)
+  FROM found WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
 ),
 words AS (
   SELECT doc_id, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import oracle, quality, sharding
+from gleaner.llm import oracle, quality, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,8 +27,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    rows = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_sharding)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
