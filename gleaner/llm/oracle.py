@@ -63,3 +63,31 @@ verdict AS (
 QUALITY = f"""WITH {quality_verdicts()}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rejected,
   NOT base_failed AND NOT host_rejected AS kept FROM verdict"""
+
+# What the schedule takes is whole passes over a source's stream and a prefix of it, which SQL can say directly.
+MIXING = r"""WITH sized AS (
+  SELECT doc_id, source, md5('11|' || doc_id) AS key,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
+),
+src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid
+  FROM sized GROUP BY source
+),
+weighed AS (SELECT *, 3 * source_size AS cap, [5, 2, 1][sid % 3 + 1] AS weight, sum(source_size) OVER () AS words FROM src),
+rated AS (
+  SELECT *, row_number() OVER r AS rank, (words - coalesce(sum(cap) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS rate
+  FROM weighed WINDOW r AS (ORDER BY cap / weight, sid), b AS (ORDER BY cap / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+cut AS (SELECT min(rank) AS first, arg_min(rate, rank) AS rate FROM rated WHERE rate * weight <= cap),
+plan AS (
+  SELECT source, source_size, CASE WHEN rank < first THEN CAST(cap AS DOUBLE) ELSE cut.rate * weight END AS target, cap FROM rated, cut
+),
+goals AS (SELECT *, least(CAST(floor(target + 0.5) AS BIGINT), cap) AS goal FROM plan),
+placed AS (
+  SELECT s.*, source_size, target, goal,
+    coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, source, size, source_size, target,
+  CAST(CASE WHEN size = 0 THEN 0 ELSE goal // source_size * size + greatest(least(size, goal % source_size - start), 0) END AS BIGINT) AS taken
+FROM placed"""

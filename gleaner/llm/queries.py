@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import oracle, quality, sharding, simhash
+from gleaner.llm import mixing, oracle, quality, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +33,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    rows = mixing.mixed(_read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash, op4_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": oracle.QUALITY}
+    return {"op1_quality_rules": oracle.QUALITY, "op4_mixing": oracle.MIXING}
