@@ -91,3 +91,19 @@ placed AS (
 SELECT doc_id, source, size, source_size, target,
   CAST(CASE WHEN size = 0 THEN 0 ELSE goal // source_size * size + greatest(least(size, goal % source_size - start), 0) END AS BIGINT) AS taken
 FROM placed"""
+
+CHAT = r"""WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    md5(length(coalesce(role, '')) || '|' || coalesce(role, '') || coalesce(text, '')) AS content
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, content) AS n FROM said),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(content, '' ORDER BY n) AS key,
+    string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY n) AS rendered
+  FROM placed GROUP BY conv_id
+),
+once AS (SELECT key, min(conv_id) AS conv_id FROM whole GROUP BY key),
+begun AS (SELECT DISTINCT substr(key, 1, 32 * CAST(k AS INTEGER)) AS key FROM whole, unnest(range(1, n_turns)) AS t(k))
+SELECT w.conv_id, n_turns, rendered FROM whole w JOIN once o ON w.conv_id = o.conv_id
+WHERE w.key NOT IN (SELECT key FROM begun)"""

@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import mixing, oracle, quality, sharding, simhash
+from gleaner.llm import chat, mixing, oracle, quality, sharding, simhash, urls
+
+URL_RULES = [
+    urls.Rule("block", "com/en/"),
+    urls.Rule("allow", "example.com/en/7"),
+    urls.Rule("allow", "net/de/"),
+    urls.Rule("block", "example.net/de/8"),
+    urls.Rule("block", "org/es/"),
+]
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,9 +47,20 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal conversations, rendered."""
+    return chat.rendered(_read(spark, sf_dir, "conversations"))
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL; the trees learn from the URLs that a rule fits."""
+    rows = urls.filtered(_read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return rows.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash, op4_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash, op4_mixing, op6_chat, op9_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": oracle.QUALITY, "op4_mixing": oracle.MIXING}
+    return {"op1_quality_rules": oracle.QUALITY, "op4_mixing": oracle.MIXING, "op6_chat": oracle.CHAT}
