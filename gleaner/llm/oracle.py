@@ -107,3 +107,12 @@ once AS (SELECT key, min(conv_id) AS conv_id FROM whole GROUP BY key),
 begun AS (SELECT DISTINCT substr(key, 1, 32 * CAST(k AS INTEGER)) AS key FROM whole, unnest(range(1, n_turns)) AS t(k))
 SELECT w.conv_id, n_turns, rendered FROM whole w JOIN once o ON w.conv_id = o.conv_id
 WHERE w.key NOT IN (SELECT key FROM begun)"""
+
+WARC = """WITH sized AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+placed AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to FROM placed"""

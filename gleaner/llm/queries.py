@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat, mixing, oracle, quality, sharding, simhash, urls
+from gleaner.llm import chat, mixing, oracle, quality, sharding, simhash, urls, warc
+from gleaner.llm.workspace import new_path
 
 URL_RULES = [
     urls.Rule("block", "com/en/"),
@@ -52,6 +53,14 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered(_read(spark, sf_dir, "conversations"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives and read back from them."""
+    path = new_path(spark, "warc")
+    warc.write(_read(spark, sf_dir, "pages"), path, "page_id", "url", "html")
+    rows = warc.read(spark, path)
+    return rows.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL; the trees learn from the URLs that a rule fits."""
     rows = urls.filtered(_read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
@@ -59,8 +68,8 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash, op4_mixing, op6_chat, op9_url_filters)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash, op4_mixing, op6_chat, op7_warc, op9_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": oracle.QUALITY, "op4_mixing": oracle.MIXING, "op6_chat": oracle.CHAT}
+    return {"op1_quality_rules": oracle.QUALITY, "op4_mixing": oracle.MIXING, "op6_chat": oracle.CHAT, "op7_warc": oracle.WARC}
