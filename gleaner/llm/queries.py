@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat, mixing, oracle, quality, sharding, simhash, urls, warc
+from gleaner.llm import chat, decontam, mixing, oracle, quality, sharding, simhash, tokens, urls, warc
 from gleaner.llm.workspace import new_path
 
 URL_RULES = [
@@ -48,6 +49,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and its best window."""
+    return decontam.matches(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The maximal conversations, rendered."""
     return chat.rendered(_read(spark, sf_dir, "conversations"))
@@ -67,8 +73,15 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and checksum of every document's ids, written to token files and read back from them."""
+    path = new_path(spark, "tokens")
+    manifest = tokens.write(_read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.read(spark, path, manifest)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash, op4_mixing, op6_chat, op7_warc, op9_url_filters)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash, op4_mixing, op5_decontamination, op6_chat, op7_warc, op9_url_filters, op10_tokens)}
 
 
 def oracle_sql() -> dict[str, str]:
