@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat, decontam, mixing, oracle, quality, sharding, simhash, tokens, urls, warc
+from gleaner.llm import chat, decontam, mixing, oracle, quality, repeats, sharding, simhash, tokens, urls, warc
 from gleaner.llm.workspace import new_path
 
 URL_RULES = [
@@ -67,6 +67,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without its repeated 200-byte strings."""
+    return repeats.removed(_read(spark, sf_dir, "documents"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL; the trees learn from the URLs that a rule fits."""
     rows = urls.filtered(_read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
@@ -81,7 +86,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash, op4_mixing, op5_decontamination, op6_chat, op7_warc, op9_url_filters, op10_tokens)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_simhash, op4_mixing, op5_decontamination, op6_chat, op7_warc, op8_suffix_dedup, op9_url_filters, op10_tokens)}
 
 
 def oracle_sql() -> dict[str, str]:
