@@ -11,8 +11,8 @@ Files hold ranges of document ids in ascending order, and rows with equal ids in
 manifest has a row per file; files of lost or repeated tasks are in no manifest and so never read.
 
 Texts are cut before words (a space and something that is not white space), where the tokenizer's
-own pre-tokenizer always cuts, and each distinct piece is encoded once per task; ids equal those of
-the whole text. Null text is empty; every document ends with the end id. A null id sorts first.
+own pre-tokenizer always cuts, and the first million distinct pieces of a worker are encoded once; ids
+equal those of the whole text. Null text is empty; every document ends with the end id. A null id sorts first.
 """
 
 from __future__ import annotations
@@ -20,9 +20,13 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import suppress
+from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +41,14 @@ from pyspark.sql.types import LongType, StructField, StructType
 from gleaner.llm.workspace import staged
 
 _MAGIC = b"GLTOK001"
+# A Latin word that one of these signs ends: the pre-tokenizer cuts between them, too.
+_WORD_END = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)[.,;:!?|\n]")
 
 
 class Encoder:
     """Encodes whole texts piece by piece, with a bounded memory of pieces seen."""
 
-    def __init__(self, path: str, end_id: int, most_pieces: int = 300_000) -> None:
+    def __init__(self, path: str, end_id: int, most_pieces: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -50,31 +56,74 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # of pieces
+        self.heads: dict[str, bytes] = {}  # of words without the signs at their end, and such signs
         self.most = most_pieces
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The serialized ids of each text, with the end id.
+
+        ``known`` holds the ids of " " + piece under the piece. Where white space follows a space the
+        text is not cut; such texts, and first pieces, are encoded beside it.
+        """
+        get = self.known.get
+        rows, new, beside = [], set(), set()
+        for text in texts:
+            first, *parts = text.split(" ")
+            got = list(map(get, parts))
+            gaps, at = [], -1
+            with suppress(ValueError):
+                while True:
+                    gaps.append(at := got.index(None, at + 1))
+            if any(not parts[i] or parts[i][0].isspace() for i in gaps):
+                first, *parts = self._joined(first, parts)
+                got, gaps = list(map(get, parts)), []
+                gaps = [i for i, g in enumerate(got) if g is None]
+            new.update([parts[i] for i in gaps])
+            beside.add(first)
+            rows.append((first, parts, got, gaps))
+        cuts = {p: (" " + p[: m.end(1)], p[m.end(1) :]) if (m := _WORD_END.match(p)) else (" " + p,) for p in new}
+        beside.update(x for pair in cuts.values() for x in pair)
+        ids = self._ids(beside)
+        added = {p: b"".join([ids[x] for x in pair]) for p, pair in cuts.items()}
+        out = []
+        for first, parts, got, gaps in rows:
+            for i in gaps:
+                got[i] = added[parts[i]]
+            out.append(b"".join([ids[first], *got, self.end]))
+        room = max(0, self.most - len(self.known))
+        self.known.update(islice(((p, x) for p, x in added.items() if len(p) < 100), room))
+        return out
+
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        """Cuts before each space that something other than white space follows."""
-        first, *rest = text.split(" ")
+    def _joined(first: str, parts: list[str]) -> list[str]:
+        """Pieces of a text that is cut only where no white space follows the space."""
         out = [first]
-        for part in rest:
+        for part in parts:
             if part and not part[0].isspace():
-                out.append(" " + part)
+                out.append(part)
             else:
                 out[-1] += " " + part
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The serialized ids of each text, with the end id."""
-        if len(self.known) > self.most:
-            self.known.clear()
-        known, cut = self.known, [self.pieces(t) for t in texts]
-        new = list({p for pieces in cut for p in pieces if p not in known})
-        for k in range(0, len(new), 4096):
-            for p, e in zip(new[k : k + 4096], self.tokenizer.encode_batch(new[k : k + 4096], add_special_tokens=False)):
-                known[p] = np.array(e.ids, self.dtype).tobytes()
-        return [b"".join([*map(known.__getitem__, pieces), self.end]) for pieces in cut]
+    def _ids(self, pieces: set[str]) -> dict[str, bytes]:
+        out, heads = {}, self.heads
+        for p in pieces:
+            if (found := heads.get(p)) is not None:
+                out[p] = found
+        more = [p for p in pieces if p not in out]
+        for k in range(0, len(more), 4096):
+            for x, e in zip(more[k : k + 4096], self.tokenizer.encode_batch_fast(more[k : k + 4096], add_special_tokens=False)):
+                out[x] = np.array(e.ids, self.dtype).tobytes()
+        room = max(0, self.most * 7 // 10 - len(heads))
+        heads.update(islice(((p, out[p]) for p in more if len(p) < 100), room))
+        return out
+
+
+@cache
+def _encoder(path: str, end_id: int) -> Encoder:
+    """One encoder for all tasks of a worker, so that its pieces are encoded once a worker."""
+    return Encoder(path, end_id)
 
 
 def _chunks(column: pa.Array, most_docs: int = 256, most_chars: int = 4_000_000) -> Iterator[list[str]]:
@@ -125,7 +174,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, leve
     slim = slim.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path, end_id)
+        encoder = _encoder(tokenizer_path, end_id)
         packer = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         fs, at = _open(path)
         part, ids, triples, out, place, tokens = TaskContext.get().partitionId(), [], [], None, len(_MAGIC) + 32, 0
