@@ -107,10 +107,9 @@ def first_wins(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def last_wins(rows: DataFrame, key: str, version: list[str]) -> DataFrame:
-    """The row of each key with the greatest version: an upsert without MERGE."""
-    rest = [c for c in rows.columns if c not in (key, *version)]
-    most = F.max(F.struct(*version, *rest)).alias("_r")
-    return rows.groupBy(key).agg(most).select(key, *(F.col(f"_r.{c}").alias(c) for c in (*version, *rest))).select(*rows.columns)
+    """The row of each key with the greatest version (columns that tell rows apart): an upsert without MERGE."""
+    most = F.max_by(F.struct(*rows.columns), F.struct(*version)).alias("_r")
+    return rows.groupBy(key).agg(most).select("_r.*")
 
 
 def canonical(json: Column) -> Column:

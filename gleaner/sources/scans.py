@@ -40,8 +40,8 @@ def download_input(spark: SparkSession, path: str) -> DataFrame:
     """Strict rows for downloads: each with an id and a list of URLs, and no id twice; errors when read."""
     rows = jsonl(spark, path, schemas.DOWNLOAD_INPUT)
     bad = F.col("record_id").isNull() | (F.col("record_id") == "") | F.col("urls").isNull() | F.exists("urls", lambda u: u.isNull())
-    times = rows.groupBy("record_id").agg(F.count("*").alias("_n"))
-    rows = rows.join(times, F.col("record_id").eqNullSafe(times["record_id"])).drop(times["record_id"])
+    times = rows.groupBy(F.col("record_id").alias("_id")).agg(F.count("*").alias("_n"))
+    rows = rows.join(times, F.col("record_id").eqNullSafe(F.col("_id"))).drop("_id")
     wrong = F.when(bad, F.raise_error(F.lit("each row needs record_id and a list of urls"))).when(F.col("_n") > 1, F.raise_error(F.lit("an id is repeated in the input")))
     return rows.where(wrong.cast("boolean").isNull()).drop("_n")
 
