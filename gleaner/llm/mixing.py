@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.ordered import running_total
 from gleaner.llm.workspace import staged
+from gleaner.operators.running import running_total
 
 _GOLDEN = 2654435769  # odd, nearest 2^32 / golden ratio: points k * this mod 2^32
 _SPAN = 1 << 32

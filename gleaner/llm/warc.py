@@ -23,8 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.ordered import running_total
 from gleaner.llm.workspace import joined_small, staged
+from gleaner.operators.running import running_total
 
 MAGIC = "WARC/1.1\r\n"
 _BREAK = "\r\n\r\n"
