@@ -165,7 +165,18 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: in
 
 
 def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that name their component: one document of each group stays."""
-    found = near_duplicates(docs, radius, shingle, id_col=id_col, text_col=text_col)
+    """The rows of ``docs`` that name their component: one document of each group stays.
+
+    Rows that repeat an id stay once; they are looked for among the fingerprints, so texts move only
+    where there are some. Rows without an id stay, as no decision can name them.
+    """
+    found = staged(near_duplicates(docs, radius, shingle, id_col=id_col, text_col=text_col), "judged")
     copies = staged(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_copy")).distinct(), "copies")
-    return joined_small(docs, copies, docs[id_col] == copies["_copy"], "left_anti")
+    kept = joined_small(docs, copies, docs[id_col] == copies["_copy"], "left_anti")
+    again = found.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("_again"))
+    again = staged(again, "repeated")
+    if not again.limit(1).count():
+        return kept
+    same = kept[id_col] == again["_again"]
+    once = joined_small(kept, again, same, "left_semi").dropDuplicates([id_col])
+    return joined_small(kept, again, same, "left_anti").unionByName(once)

@@ -69,7 +69,7 @@ def test_near_duplicates(spark):
         for _ in range(rng.choice([0, 0, 1, 3])):
             text[rng.randrange(len(text))] = "changed"
             rows.append((len(rows) * 3, " ".join(text), 0))
-    rows += [(10_000, None, 0), (10_001, "", 0), (10_002, " \n", 0), (None, "alone here now", 0), (10_003, rows[0][1], 0), (10_003, rows[0][1], 0)]
+    rows += [(10_000, None, 0), (10_001, "", 0), (10_002, " \n", 0), (None, "alone here now", 0), (10_003, rows[0][1], 0), (10_003, rows[0][1], 0), (10_004, "twice the same", 0), (10_004, "twice the same", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fp int")
     fp = [brute_fingerprint(t) for _, t, _ in rows]
     root = union([(i, j) for i in range(len(rows)) for j in range(i) if (fp[i] ^ fp[j]).bit_count() <= 3], range(len(rows)))
@@ -87,5 +87,6 @@ def test_near_duplicates(spark):
         assert sorted(str((r.doc_id, f"{r.fp & (1 << 64) - 1:016x}", r.component_id)) for r in out) == want
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == {x for x in least.values()} | {None}
+    ids = [r.doc_id for r in kept.collect()]
+    assert set(ids) == {x for x in least.values()} | {None} and len(ids) == len(set(ids))
     assert simhash.near_duplicates(docs.where("false")).count() == 0
