@@ -62,3 +62,9 @@ def checked(urls: DataFrame, policies: DataFrame, agent: str, url: str = "url")
     ok = allows(agent)(F.col("_state"), F.col("_body"), F.col(url))
     verdict = F.when(F.col("_state") == "unavailable", "robots_indisponivel").when(ok, "allowed").otherwise("robots_bloqueado")
     return rows.withColumn("robots", verdict).drop("_state", "_body")
+
+
+def fresh(policies: DataFrame, as_of: Column, ttl_s: int = 86_400) -> DataFrame:
+    """The cached policies (with fetched_at) that are young enough to be used without asking again."""
+    age = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("fetched_at").cast("timestamp"))
+    return policies.where(age < ttl_s * 1_000_000)

@@ -181,3 +181,29 @@ def test_attempt_rules(spark):
     logs = spark.createDataFrame([("a", "2026-01-01 00:00:00", 5), ("b", "2026-01-01 00:00:00", 5)], "url string, ts string, bytes long")
     raw = spark.createDataFrame([("s", "2026-01-01 00:00:01.9", 5), ("t", "2026-01-01 00:00:02.1", 5), ("u", "2026-01-01 00:00:00", 6)], "sha string, modified string, bytes long")
     assert {(r.url, r.sha) for r in pacing.matching_raw(logs, raw).collect()} == {("a", "s"), ("b", "s")}
+
+
+def test_evidence_and_policy_age(spark):
+    from gleaner.functions import evidence
+
+    df = spark.createDataFrame([(bytearray(b"a\x00b" + b"x" * 70000), {"Retry-After": "5", "Set-Cookie": "secret"}, {"Institution_str": "U", "title": "T"})], "b binary, h map<string,string>, r map<string,string>")
+    row = df.select(evidence.excerpt(F.col("b")).alias("e"), evidence.kept_headers(F.col("h")).alias("h"), evidence.institution_fields(F.col("r")).alias("r")).first()
+    assert row.e.startswith("a bx") and len(row.e) == 4096 and row.h == {"retry-after": "5"} and row.r == {"Institution_str": "U"}
+    policies = spark.createDataFrame([("a", "2026-01-01 00:00:00"), ("b", "2026-01-01 20:00:00")], "origin string, fetched_at string")
+    assert [r.origin for r in robots.fresh(policies, F.lit("2026-01-02 01:00:00")).collect()] == ["b"]
+
+
+def test_heartbeat(spark):
+    from gleaner.streaming.progress import Heartbeat, observed
+
+    lines = []
+    beat = Heartbeat(0.01, lines.append).start()
+    beat.update(records=5, attempted=7)
+    beat.begin("download")
+    df, count = observed(spark.range(9), "rows")
+    df.collect()
+    beat.update(rows=count.get["rows"])
+    beat.end()
+    beat.stop()
+    assert "queue=0" in lines[0] or any("queue=0" in x for x in lines)
+    assert any(x == "download records=5 attempted=7 rows=9 queue=0" for x in lines)
