@@ -35,7 +35,7 @@ def duplicate_events(events: DataFrame, sha: str, order: str, size: str, flagged
 def archived(files: DataFrame, batches: DataFrame) -> DataFrame:
     """The hashes of files in batches that were verified after their transfer."""
     done = batches.where("archive_status = 'transferred_verified'").select("batch_number")
-    return files.join(F.broadcast(done), "batch_number", "left_semi").select("sha").distinct()  # a row per batch
+    return files.join(done, "batch_number", "left_semi").select("sha").distinct()
 
 
 def finished(results: DataFrame, archived_shas: DataFrame, on_disk: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def queries() -> dict[str, Query]:
 
 
 def corpus(spark: SparkSession, d: str) -> DataFrame:
-    """(record_id, year, institution) of every order; one row per nation is broadcast."""
+    """(record_id, year, institution) of every order; nation is a fixed list of countries and is broadcast."""
     nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("institution"))
     customer = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey").join(F.broadcast(nation), "c_nationkey")
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("string").alias("year"))
@@ -227,7 +227,7 @@ def archived_results(spark: SparkSession, d: str) -> DataFrame:
     docs, labels = documents(spark, d), table(spark, d, "labels")
     least = docs.groupBy("lang").agg(F.min_by(F.struct("sha", "bytes"), F.struct("bytes", "doc_id")).alias("f"))
     file = lambda sha, size: F.struct(sha.alias("sha"), F.concat(F.lit("raw/"), sha).alias("path"), size.alias("bytes"))
-    results = docs.join(F.broadcast(least), "lang").select(F.col("doc_id").alias("record_id"), F.array(file(F.col("sha"), F.col("bytes")), file(F.col("f.sha"), F.col("f.bytes"))).alias("files"))
+    results = docs.join(least, "lang").select(F.col("doc_id").alias("record_id"), F.array(file(F.col("sha"), F.col("bytes")), file(F.col("f.sha"), F.col("f.bytes"))).alias("files"))
     archived = docs.join(labels.where("toxic = 0"), "doc_id", "left_semi").select("sha").distinct()
     disk = files.distinct_files(docs, record="doc_id").select(F.concat(F.lit("raw/"), "sha").alias("path"), F.when(F.col("sha") < "8", F.col("bytes")).otherwise(0).alias("bytes"))
     return files.finished(results, archived, disk).select("record_id", "valid")
