@@ -38,10 +38,10 @@ class Rule:
 
 
 RULES = (
-    Rule("base", "n_words < 50 OR 100 * n_repeat_words > 50 * n_words", 0.5),
-    Rule("symbols", "10 * n_symbols > n_words", 0.5),
-    Rule("lines", "20 * n_dup_lines > n_words", 0.5),
-    Rule("word_length", "word_chars < 3 * n_words OR word_chars > 12 * n_words", 0.5),
+    Rule("base", "n_words < 50 OR 100 * n_repeat_words > 50 * n_words", 0.8),
+    Rule("symbols", "10 * n_symbols > n_words", 0.8),
+    Rule("lines", "20 * n_dup_lines > n_words", 0.8),
+    Rule("word_length", "word_chars < 3 * n_words OR word_chars > 12 * n_words", 0.8),
 )
 
 

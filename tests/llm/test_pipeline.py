@@ -8,7 +8,7 @@ import pytest
 from test_decontam import brute as leaks
 from test_mixing import brute_targets
 from test_quality import brute as measures
-from test_simhash import brute_fingerprint, union
+from test_simhash import shingles, union
 from test_tokens import whole
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -21,8 +21,8 @@ def expected(rows, items):
         return m[0] >= 50 and 100 * m[4] <= 50 * m[0]
 
     rows = [r for r in rows if good(r[1])]
-    fp = [brute_fingerprint(r[1]) for r in rows]
-    root = union([(i, j) for i in range(len(rows)) for j in range(i) if (fp[i] ^ fp[j]).bit_count() <= 3], range(len(rows)))
+    sets = [shingles(r[1]) for r in rows]
+    root = union([(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])], range(len(rows)))
     least = {}
     for i, r in enumerate(rows):
         least[root[i]] = min(r[0], least.get(root[i], r[0]))
@@ -58,6 +58,8 @@ def test_run(spark, tmp_path):
         rows.append((i, " ".join(text), f"src{i % 4}"))
         if i % 5 == 0:
             rows.append((1000 + i, rows[-1][1], "src0"))
+        if i % 8 == 0:
+            rows.append((2000 + i, rows[-1][1].replace(" ", " new ", 1), "src1"))
     docs = [(d, t, "en", s, len(t)) for d, t, s in rows]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

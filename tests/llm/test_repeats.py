@@ -82,6 +82,8 @@ def test_removed(spark, monkeypatch):
     for parts in (1, 4):
         got = [tuple(r) for r in repeats.removed(docs.repartition(parts)).collect()]
         assert sorted(map(str, got)) == sorted(map(str, want))
+    got = [tuple(r) for r in repeats.removed(docs, hot_places=1).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
     once = repeats._repeated_runs
     monkeypatch.setattr(repeats, "_repeated_runs", lambda kinds, length: once(kinds, length, most_windows=100))
     monkeypatch.setattr(repeats, "_SEGMENT", 300)

@@ -90,3 +90,37 @@ def test_near_duplicates(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert set(ids) == {x for x in least.values()} | {None} and len(ids) == len(set(ids))
     assert simhash.near_duplicates(docs.where("false")).count() == 0
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_near_copies(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(3000)]
+    rows, group = [], []
+    for i in range(120):
+        text = [rng.choice(words) for _ in range(rng.choice([60, 150, 400]))]
+        for k in range(rng.choice([1, 1, 2, 4])):
+            copy = list(text)
+            for _ in range(k * len(text) // 100):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            rows.append((len(rows), " ".join(copy), 0))
+            group.append(i)
+    rows += [(900, rows[0][1].upper(), 0), (901, None, 0), (902, " ", 0), (None, rows[5][1], 0), (1, rows[1][1], 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    sets = [shingles(t or "") for _, t, _ in rows]
+    jaccard = lambda a, b: len(a & b) / max(1, len(a | b))
+    close = [(i, j) for i in range(len(group)) for j in range(i) if jaccard(sets[i], sets[j]) >= 0.85]
+    found = simhash.near_copies(docs, leaf_rows=30, most_rows=20).collect()
+    root = {r.doc_id: r.component_id for r in found if r.doc_id is not None}
+    assert len(found) == len(rows) and len(close) > 30
+    assert all(root[i] == root[j] for i, j in close)
+    near = union([(i, j) for i in range(len(group)) for j in range(i) if jaccard(sets[i], sets[j]) >= 0.65], range(len(group)))
+    assert all(near[i] == near[root[i]] for i in range(len(group)))
+    assert root[900] == root[0] and root[902] == 901
+    kept = [r.doc_id for r in simhash.keep_one(docs, 0.8, shingle=5).collect()]
+    assert len(kept) == len(set(kept)) and set(kept) - {None} == {r for r in root.values()}
+    assert simhash.near_copies(docs.where("false")).count() == 0
