@@ -9,7 +9,8 @@ document. Only suffixes that can repeat are sorted:
    the windows that they own are fetched from the texts (a join by text, so no text is broadcast).
 3. Equal pieces are collapsed by partial aggregation, so a passage found in a third of all documents
    is one row with a mark. The suffixes of the different pieces of an anchor hash are put in order by
-   deep-shallow sorting; neighbours equal over ``length`` bytes are repeats.
+   deep-shallow sorting; neighbours equal over ``length`` bytes are repeats. Where a hash occurs at over
+   ``hot_places`` places, the bytes that equal windows must share join its key, which cuts its group up.
 4. Repeated runs go back to the texts that hold the piece, are united and cut out.
 
 Equal texts are one text here; a text that occurs twice is cut out whole if it has ``length`` bytes.
@@ -122,23 +123,42 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return long.select("k1", "k2", "text").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
+def split_run(text: bytes, h: int, first: int, windows: int, offset: int, length: int, step: int = 16) -> Iterator[tuple[int, int, int, int]]:
+    """Cut an anchor's windows into (key, first, windows, offset) of ``step`` distances from the anchor.
+
+    All windows at distances [j, j + step) hold the bytes from ``j`` before the anchor to the end of
+    the nearest-ending window; equal windows agree in them, so they go into the key.
+    """
+    anchor = first + offset
+    for j in range((offset - windows + 1) // step * step, offset + 1, step):
+        a, b = max(first, anchor - j - step + 1), min(first + windows, anchor - j + 1)
+        core = text[anchor - j : anchor - j - step + 1 + length]
+        yield xxhash.xxh64_intdigest(core + j.to_bytes(4, "little") + (h + (1 << 63)).to_bytes(8, "little")) - (1 << 63), a, b - a, anchor - a
+
+
 def _pieces(found: DataFrame, length: int) -> DataFrame:
-    """(h, c1, c2, k1, k2, first, windows, offset, piece) from rows with a text and its anchors."""
+    """(h, c1, c2, k1, k2, first, windows, offset, piece) from rows with a text and its anchors.
+
+    A hash found at very many places is replaced by keys of what lies around the anchor, so that its
+    pieces are dealt to many tasks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 text = batch.column("text")[i].as_py()
-                marks = batch.column("marks")[i].as_py()
+                marks = [tuple(m.values()) for m in batch.column("marks")[i].as_py()]
                 k1, k2 = batch.column("k1")[i].as_py(), batch.column("k2")[i].as_py()
                 for k in range(0, len(marks), 20_000):
                     rows, seen = [], set()
-                    for m in marks[k : k + 20_000]:
-                        piece = text[m["first"] : m["first"] + m["windows"] + length - 1]
-                        c1, c2 = (xxhash.xxh64_intdigest(piece, s) - (1 << 63) for s in (1, 2))
-                        again = (m["h"], c1, c2) in seen  # a period repeats its piece; its bytes travel once
-                        seen.add((m["h"], c1, c2))
-                        rows.append((m["h"], c1, c2, k1, k2, m["first"], m["windows"], m["offset"], None if again else piece))
+                    for h, first, windows, offset, hot in marks[k : k + 20_000]:
+                        parts = split_run(text, h, first, windows, offset, length) if hot else ((h, first, windows, offset),)
+                        for key, a, n, away in parts:
+                            piece = text[a : a + n + length - 1]
+                            c1, c2 = (xxhash.xxh64_intdigest(piece, s) - (1 << 63) for s in (1, 2))
+                            again = (key, c1, c2) in seen  # a period repeats its piece; its bytes travel once
+                            seen.add((key, c1, c2))
+                            rows.append((key, c1, c2, k1, k2, a, n, away, None if again else piece))
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "piece" else pa.int64()) for n, c in zip(names, zip(*rows))], names)
 
     names = ["h", "c1", "c2", *TEXT, "first", "windows", "offset", "piece"]
@@ -227,7 +247,7 @@ def _cut(found: DataFrame) -> DataFrame:
     return found.mapInArrow(run, schema)
 
 
-def removed(docs: DataFrame, length: int = 200, gram: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removed(docs: DataFrame, length: int = 200, gram: int = 32, hot_places: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     texts = _texts(docs, id_col, text_col)
     rows = staged(texts.select("id", *TEXT, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256")), "texts")
@@ -237,10 +257,11 @@ def removed(docs: DataFrame, length: int = 200, gram: int = 32, id_col: str = "d
 
     marks = staged(_anchor_rows(texts, length, gram), "anchors")
     place = F.xxhash64(*TEXT, "first")
-    several = marks.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("h")
+    several = marks.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b"), (F.count("*") > hot_places).alias("hot"))
+    several = several.where("a <> b").select("h", "hot")
     several = staged(several, "repeated")
     marks = joined_small(marks, several, "h", "inner").distinct()
-    per_text = marks.groupBy(*TEXT).agg(F.collect_list(F.struct("h", "first", "windows", "offset")).alias("marks"))
+    per_text = marks.groupBy(*TEXT).agg(F.collect_list(F.struct("h", "first", "windows", "offset", "hot")).alias("marks"))
     per_text = staged(per_text.join(firsts.select("id", *TEXT), TEXT), "marked")
     pieces = staged(_pieces(_with_texts(texts, per_text, "marks"), length), "pieces")
 
