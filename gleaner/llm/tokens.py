@@ -11,7 +11,7 @@ Files hold ranges of document ids in ascending order, and rows with equal ids in
 manifest has a row per file; files of lost or repeated tasks are in no manifest and so never read.
 
 Texts are cut before words (a space and something that is not white space), where the tokenizer's
-own pre-tokenizer always cuts, and the first million distinct pieces of a worker are encoded once; ids
+own pre-tokenizer always cuts, and the first 450,000 distinct pieces of a worker are encoded once; ids
 equal those of the whole text. Null text is empty; every document ends with the end id. A null id sorts first.
 """
 
@@ -48,7 +48,7 @@ _WORD_END = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)[.,;:!
 class Encoder:
     """Encodes whole texts piece by piece, with a bounded memory of pieces seen."""
 
-    def __init__(self, path: str, end_id: int, most_pieces: int = 1_000_000) -> None:
+    def __init__(self, path: str, end_id: int, most_pieces: int = 450_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -115,7 +115,7 @@ class Encoder:
         for k in range(0, len(more), 4096):
             for x, e in zip(more[k : k + 4096], self.tokenizer.encode_batch_fast(more[k : k + 4096], add_special_tokens=False)):
                 out[x] = np.array(e.ids, self.dtype).tobytes()
-        room = max(0, self.most * 7 // 10 - len(heads))
+        room = max(0, self.most // 2 - len(heads))
         heads.update(islice(((p, out[p]) for p in more if len(p) < 100), room))
         return out
 
