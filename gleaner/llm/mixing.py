@@ -136,5 +136,6 @@ def mix(docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (5, 2, 1)
     # Rows that share id and size may differ in what is taken of them; the first in order decides.
     share = staged(share.groupBy("_id", "_size").agg(F.max("_times").alias("_times")), "times")
     sized = docs.withColumn("_n", n_words(F.col(text_col)))
-    met = sized.join(share, sized[id_col].eqNullSafe(share["_id"]) & (F.col("_n") == F.col("_size")))
+    # The share has a row per document, so it is never broadcast, however small it is.
+    met = sized.join(share.hint("merge"), sized[id_col].eqNullSafe(share["_id"]) & (F.col("_n") == F.col("_size")))
     return met.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
