@@ -19,14 +19,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import accumulate
-from math import acos, pi
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from gleaner.llm.components import components
 from gleaner.llm.workspace import joined_small, staged
@@ -168,105 +169,224 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: in
     return joined_small(rows, member, "fp", "left").select(F.col("id").alias(id_col), "fp", F.coalesce("component_id", "id").alias("component_id"))
 
 
-BITS = 768  # of a sketch: 24 fingerprints of 32 bits
-SKETCH = [f"s{k}" for k in range(BITS // 64)]
+BITS = 768  # of a parity bitmap
+BITMAP = [f"s{k}" for k in range(BITS // 64)]
+_SLACK = 1e-6  # of comparisons with products of a similarity: errors of rounding never drop a pair
 
 
-def sketch(text: bytes, shingle: int = 5, seed: int = 42) -> list[int]:
-    """A SimHash of ``BITS`` bits as signed 64-bit numbers; each shingle's hash is mixed anew for every 64 bits."""
+def shingle_set(text: bytes, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """The distinct XXH64 hashes of a text's shingles, ascending; shorter texts count as one shingle."""
     words = text.lower().split()
     joined = b" ".join(words)
     ends = [0, *accumulate(map((1).__add__, map(len, words)))]
     size = max(1, min(shingle, len(words)))
     xxh64 = xxhash.xxh64_intdigest
-    hashes = np.array([xxh64(joined[a : b - 1], seed) for a, b in zip(ends, ends[size:])], np.uint64)
-    counts = np.zeros((len(SKETCH), 64), np.int64)
-    for k in range(0, len(hashes), 1 << 14):
-        some = hashes[k : k + (1 << 14)]
-        for w in range(len(SKETCH)):
-            x = (some ^ (some >> np.uint64(31))) * (_MIX * np.uint64(2 * w + 1))
-            x = ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) ^ (x >> np.uint64(32))
-            counts[w] += np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * counts > len(hashes), axis=1, bitorder="little").view("<i8").ravel().tolist()
-
-
-def most_distance(similarity: float) -> int:
-    """Differing bits of two sketches at a Jaccard similarity, plus a standard deviation.
-
-    Of two sets of similarity J the cosine is 2 J / (1 + J), and each bit differs with probability
-    acos(cosine) / pi.
-    """
-    p = acos(2 * similarity / (1 + similarity)) / pi
-    return int(BITS * p + (BITS * p * (1 - p)) ** 0.5)
-
-
-def tree_links(fps: np.ndarray, keys: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, key) links that reach every fingerprint within ``radius`` of another, each link a direct one."""
-    order = np.argsort(fps, kind="stable")
-    fps, keys = fps[order], keys[order]
-    same = fps[1:] == fps[:-1]
-    u, v = [keys[1:][same]], [keys[:-1][same]]
-    first = np.concatenate([[True], ~same]) if len(fps) else np.zeros(0, bool)
-    rest, names = fps[first], keys[first]
-    while len(rest) > 1:
-        wave, rest, names = [(rest[0], names[0])], rest[1:], names[1:]
-        while wave and len(rest):
-            x, name = wave.pop()
-            near = np.bitwise_count(rest ^ x) <= radius
-            if near.any():
-                u.append(names[near])
-                v.append(np.full(int(near.sum()), name))
-                wave += zip(rest[near], names[near])
-                rest, names = rest[~near], names[~near]
-    return np.concatenate(u), np.concatenate(v)
-
-
-def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 2, leaf_rows: int = 4096, most_rows: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, component_id) of every row, where rows link at a shingle similarity of ``similarity`` or more.
+    found = [xxh64(joined[a : b - 1], seed) for a, b in zip(ends, ends[size:])] or [xxh64(b"", seed)]
+    return np.unique(np.array(found, np.uint64).view(np.int64))
+
+
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """``BITS`` parities as signed 64-bit numbers: two sets differ in at least as many members as their bitmaps in bits."""
+    odd = np.bincount((hashes.view(np.uint64) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def prefix_length(n: int, similarity: float) -> int:
+    """How many of a set's n members, in an order common to all, must hold one of any set of that similarity."""
+    return min(n, n - ceil(similarity * n - _SLACK) + 1)
 
-    One 64-bit fingerprint within a few bits finds near-identical texts only. Here each text has 24
-    fingerprints of 32 bits; vantage-point trees find, for each, the links within ``radius``, and the
-    distance of the whole sketches decides. At similarity 0.8 one fingerprint is within 2 bits with
-    probability 0.12, one of 24 with 0.95; at 0.9 with 0.9999. Equal sketches are collapsed first.
+
+def _frequent(slim: DataFrame, shingle: int, sample_docs: int = 10_000, most: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, estimated texts) of shingles found in three texts or more of a sample; hashes ascend.
+
+    The estimate orders shingles and cuts large groups into blocks; results do not depend on it.
     """
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    every = -(-max(1, slim.count()) // sample_docs)
 
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([sketch(t.as_py() or b"", shingle) for t in batch.column("text")], np.int64).reshape(-1, len(SKETCH))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(c) for c in found.T)], ["id", *SKETCH])
-
-    shape = StructType([slim.schema["id"], *(StructField(c, LongType()) for c in SKETCH)])
-    rows = staged(slim.mapInArrow(sketched, shape).withColumn("key", F.xxhash64(*SKETCH)), "sketches")
-    firsts = [F.first(c).alias(c) for c in SKETCH]  # equal within a key
-    nodes = staged(rows.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n"), *firsts), "nodes")
-    depth, n = 0, nodes.count()
-    while n * 1.2**depth / 2**depth > leaf_rows and depth < 14:
-        depth += 1
+            for text in batch.column("text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text.as_py() or b"", shingle))], ["h"])
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("key").to_numpy()
-            words = np.stack([batch.column(c).to_numpy() for c in SKETCH], 1).view("<u4")
-            for f in range(words.shape[1]):
-                fps = words[:, f].astype(np.uint64)
-                leaf, at = leaves(fps, depth, radius, 16)
-                yield pa.RecordBatch.from_arrays([pa.array(leaf * words.shape[1] + f), pa.array(keys[at]), pa.array(fps[at].astype(np.int64))], ["leaf", "key", "fp"])
+    some = slim.select("text").where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).mapInArrow(run, "h long")
+    top = some.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(most).collect()
+    top = np.array(sorted((r["h"], r["count"] * every) for r in top), np.int64).reshape(-1, 2)
+    return top[:, 0].copy(), top[:, 1].copy()
 
-    def search(table: pa.Table) -> pa.Table:
-        u, v = tree_links(table.column("fp").to_numpy().astype(np.uint32), table.column("key").to_numpy(), radius)
-        return pa.table({"u": u, "v": v})
-
-    placed = nodes.select("key", *SKETCH).mapInArrow(place, "leaf long, key long, fp long")
-    found = _dealt(placed, "key", most_rows).groupBy("leaf", "i", "j").applyInArrow(search, "u long, v long")
-    found = staged(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "candidates")
-    side = lambda c: nodes.select(F.col("key").alias(c), *(F.col(s).alias(c + s) for s in SKETCH))
-    distance = sum((F.bit_count(F.col("u" + s).bitwiseXOR(F.col("v" + s))) for s in SKETCH), F.lit(0))
-    linked = found.join(side("u"), "u").join(side("v"), "v").where(distance <= most_distance(similarity)).select("u", "v")
+
+def _looked_up(known: np.ndarray, value: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The value of each hash, 0 where it is not known."""
+    if not len(known):
+        return np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, value[at], 0)
+
+
+def group_pairs(leaf: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(d, a, b): places of the members of each group that may be that similar, d apart; sorted by leaf and size.
+
+    Sizes within the similarity and a bound on what is in common before and after the shared member
+    are necessary, so nothing that is similar is left out. The last pair of arrays is empty.
+    """
+    at, d = np.arange(len(leaf)), 0
+    while len(at):
+        d += 1
+        at = at[: np.searchsorted(at, len(leaf) - d)]
+        at = at[(leaf[at + d] == leaf[at]) & (size[at] >= similarity * size[at + d] - _SLACK)]
+        a, b = at, at + d
+        common = np.minimum(pos[a], pos[b]) + np.minimum(size[a] - pos[a], size[b] - pos[b])
+        near = common * (1 + similarity) >= similarity * (size[a] + size[b]) - _SLACK
+        yield d, a[near], b[near]
+
+
+def _distinct(u: list[np.ndarray], v: list[np.ndarray]) -> list[np.ndarray]:
+    pair = np.stack([np.concatenate(u), np.concatenate(v)], 1)
+    pair.sort(axis=1)
+    pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
+    keep = np.concatenate([[True], (pair[1:] != pair[:-1]).any(axis=1)]) if len(pair) else np.zeros(0, bool)
+    return [pair[keep, 0], pair[keep, 1]]
+
+
+def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf_rows: int = 16, most_rows: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component_id) of every row, where rows link at a shingle similarity of ``similarity`` or more.
+
+    An exact join of sets, the Jaccard similarity of distinct shingles (known by their 64-bit hashes):
+    in one order of all shingles, rare ones first, two sets of that similarity share a shingle among
+    the first n - ceil(similarity n) + 1 of their n. Texts that share one meet in its group. Those at
+    most ``leaf_rows`` apart there, by size, are compared first; where a group has more, all others
+    that the links so far do not connect are compared, too. Parity bitmaps reject pairs that are
+    surely apart, the whole sets decide. Equal sets are collapsed before. Groups estimated at over
+    ``most_rows`` texts are cut into blocks whose pairs meet.
+    """
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    known, texts = _frequent(slim, shingle)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uid = TaskContext.get().partitionId() << 40
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):  # bounds memory
+                batch = whole.slice(start, 1000)
+                found = [shingle_set(t.as_py() or b"", shingle) for t in batch.column("text")]
+                key = [xxhash.xxh64_intdigest(x.tobytes()) for x in found]
+                bits = np.array([bitmap(x) for x in found]).reshape(-1, len(BITMAP))
+                ordered = [x[np.lexsort((x, _looked_up(known, texts, x)))] for x in found]
+                size = np.array([len(x) for x in found], np.int64)
+                member = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(np.concatenate(ordered)))
+                columns = [np.array(key, np.uint64).view(np.int64), np.arange(uid, uid + len(found)), size, *bits.T]
+                uid += len(found)
+                yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns), member], ["id", "key", "uid", "size", *BITMAP, "members"])
+
+    long = [StructField(c, LongType()) for c in ["key", "uid", "size", *BITMAP]]
+    shape = StructType([slim.schema["id"], *long, StructField("members", ArrayType(LongType()))])
+    rows = staged(slim.mapInArrow(sets, shape), "sets")
+    first = rows.groupBy("key").agg(F.min("id").alias("least"), F.min("uid").alias("uid"), F.count("*").alias("n"))
+    nodes = staged(first, "nodes")
+    equal = staged(rows.select("uid").join(nodes.select("uid"), "uid", "left_anti"), "equal")
+    texts_of = joined_small(rows, equal, "uid", "left_anti")
+
+    def placed(with_bits: bool) -> DataFrame:
+        """(leaf, uid, size, pos, bitmap) of the first shingles of each set; leaves are shingles, or pairs of their blocks."""
+        more = BITMAP if with_bits else []
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                leaf, row, pos = [], [], []
+                uids, members = batch.column("uid").to_numpy(), batch.column("members")
+                for k, uid in enumerate(uids.tolist()):
+                    x = members[k].values.to_numpy()
+                    x = x[: prefix_length(len(x), similarity)]
+                    blocks = -(-_looked_up(known, texts, x) // most_rows)
+                    one = np.flatnonzero(blocks <= 1)
+                    parts = [(x[one], one)]
+                    for p in np.flatnonzero(blocks > 1).tolist():
+                        n, own = int(blocks[p]), xxhash.xxh64_intdigest(uid.to_bytes(8, "little")) % int(blocks[p])
+                        tasks = np.array([min(own, o) * n + max(own, o) + 1 for o in range(n)], np.uint64) * _MIX
+                        parts.append(((x[p : p + 1].view(np.uint64) + tasks).view(np.int64), np.full(n, p)))
+                    for some, at in parts:
+                        leaf.append(some)
+                        pos.append(at)
+                        row.append(np.full(len(some), k))
+                none = np.zeros(0, np.int64)
+                leaf, row, pos = (np.concatenate([none, *x]) for x in (leaf, row, pos))
+                for a in range(0, len(row), 100_000):
+                    at = pa.array(row[a : a + 100_000])
+                    columns = [pa.array(leaf[a : a + 100_000]), *(batch.column(c).take(at) for c in ["uid", "size"])]
+                    columns += [pa.array(pos[a : a + 100_000]), *(batch.column(c).take(at) for c in more)]
+                    yield pa.RecordBatch.from_arrays(columns, ["leaf", "uid", "size", "pos", *more])
+
+        shape = StructType([StructField(c, LongType()) for c in ["leaf", "uid", "size", "pos", *more]])
+        return texts_of.select("uid", "size", "members", *more).mapInArrow(run, shape)
+
+    def met(groups: DataFrame, tasks: int, second: bool) -> DataFrame:
+        """(u, v) that may be similar; in the first round also (leaf, null) of groups that have more."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            batches = [b for b in batches if b.num_rows]
+            if not batches:
+                return
+            table = pa.Table.from_batches(batches)
+            get = lambda c: table.column(c).to_numpy()
+            order = np.lexsort((get("uid"), get("size"), get("leaf")))
+            leaf, uid, size, pos = (get(c)[order] for c in ["leaf", "uid", "size", "pos"])
+            if second:
+                root, bits = get("root")[order], np.stack([get(c)[order] for c in BITMAP], 1).view(np.uint64)
+            u, v, held, large = [], [], 0, []
+            for d, a, b in group_pairs(leaf, size, pos, similarity):
+                if not second and d > leaf_rows:
+                    large.append(leaf[a])
+                    continue
+                if second:
+                    fresh = root[a] != root[b] if d > leaf_rows else np.zeros(len(a), bool)
+                    a, b = a[fresh], b[fresh]
+                    for k in range(0, len(a), 100_000):
+                        x, y = a[k : k + 100_000], b[k : k + 100_000]
+                        near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) * (1 + similarity) <= (1 - similarity) * (size[x] + size[y]) + _SLACK
+                        u.append(uid[x[near]])
+                        v.append(uid[y[near]])
+                        held += int(near.sum())
+                else:
+                    u.append(uid[a])
+                    v.append(uid[b])
+                    held += len(a)
+                if held > 2_000_000:  # bounds memory
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in _distinct(u, v)], ["u", "v"])
+                    u, v, held = [], [], 0
+            if u:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _distinct(u, v)], ["u", "v"])
+            if large:
+                more = np.unique(np.concatenate(large))
+                yield pa.RecordBatch.from_arrays([pa.array(more), pa.nulls(len(more), pa.int64())], ["u", "v"])
+
+        return groups.repartition(tasks, "leaf").mapInArrow(run, "u long, v long")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        """The (u, v) whose sets are that similar."""
+        pairs = staged(pairs, "candidates")
+        ends = staged(pairs.select(F.col("u").alias("uid")).union(pairs.select("v")).distinct(), "ends")
+        needed = staged(joined_small(rows.select("uid", "size", "members"), ends, "uid", "left_semi"), "compared")
+        side = lambda c: needed.select(F.col("uid").alias(c), F.col("size").alias(c + "n"), F.col("members").alias(c + "m"))
+        common = F.size(F.array_intersect("um", "vm"))
+        both = pairs.join(side("u"), "u").join(side("v"), "v")
+        return staged(both.where(common * (1 + similarity) >= similarity * (F.col("un") + F.col("vn")) - _SLACK).select("u", "v"), "linked")
+
+    total = rows.agg(F.sum(F.col("size") * (1 - similarity) + 2)).first()[0] or 0
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(total) // 500_000 + 1)
+    found = staged(met(placed(False), tasks, False), "met")
+    pairs = found.where("v IS NOT NULL").distinct()
+    side = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"), *(F.col(s).alias(c + s) for s in BITMAP))
+    apart = sum((F.bit_count(F.col("u" + s).bitwiseXOR(F.col("v" + s))) for s in BITMAP), F.lit(0))
+    near = apart * (1 + similarity) <= (1 - similarity) * (F.col("un") + F.col("vn")) + _SLACK
+    linked = similar(pairs.join(side("u"), "u").join(side("v"), "v").where(near).select("u", "v"))
     roots = components(linked)
-    rooted = nodes.select("key", "least", "n").join(roots.select(F.col("u").alias("key"), F.col("v").alias("root")), "key", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "key"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("size")).where("size > 1")
+    large = staged(found.where("v IS NULL").select(F.col("u").alias("leaf")).distinct(), "large")
+    if large.limit(1).count():
+        rest = joined_small(placed(True), large, "leaf", "left_semi")
+        rest = joined_small(rest, roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
+        more = met(rest.withColumn("root", F.coalesce("root", "uid")), tasks, True).distinct()
+        roots = components(linked.unionByName(similar(more)))
+    rooted = nodes.join(roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "uid"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("members")).where("members > 1")
     member = staged(rooted.select("key", "root").join(named, "root").select("key", "component_id"), "components")
     return joined_small(rows.select("id", "key"), member, "key", "left").select(F.col("id").alias(id_col), F.coalesce("component_id", "id").alias("component_id"))
 

@@ -124,3 +124,26 @@ def test_near_copies(spark):
     kept = [r.doc_id for r in simhash.keep_one(docs, 0.8, shingle=5).collect()]
     assert len(kept) == len(set(kept)) and set(kept) - {None} == {r for r in root.values()}
     assert simhash.near_copies(docs.where("false")).count() == 0
+
+
+def test_near_copies_of_templates(spark):
+    """Texts of one template that are alike in pairs only, at all sizes of groups, against brute force."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    template, rows = [rng.choice(words) for _ in range(400)], []
+    for i in range(40):
+        text = list(template)
+        for _ in range(rng.choice([8, 12, 16])):
+            text[rng.randrange(len(text))] = rng.choice(words)
+        rows.append((len(rows), " ".join(text)))
+        for k in range(rng.choice([1, 2])):
+            for _ in range(rng.choice([2, 6, 8])):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            rows.append((len(rows), " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [shingles(t) for _, t in rows]
+    want = union([(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])], range(len(rows)))
+    assert 5 < len(set(want.values())) < len(rows) - 20
+    for leaf_rows, most_rows in ((1, 1 << 16), (2, 20), (1000, 1 << 16)):
+        got = {r.doc_id: r.component_id for r in simhash.near_copies(docs, leaf_rows=leaf_rows, most_rows=most_rows).collect()}
+        assert got == want
