@@ -264,8 +264,8 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 40
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):  # bounds memory
-                batch = whole.slice(start, 1000)
+            for start in range(0, whole.num_rows, 250):  # bounds memory
+                batch = whole.slice(start, 250)
                 found = [shingle_set(t.as_py() or b"", shingle) for t in batch.column("text")]
                 key = [xxhash.xxh64_intdigest(x.tobytes()) for x in found]
                 bits = np.array([bitmap(x) for x in found]).reshape(-1, len(BITMAP))
@@ -289,7 +289,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
         more = BITMAP if with_bits else []
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (b.slice(a, 500) for b in batches for a in range(0, b.num_rows, 500)):
                 leaf, row, pos = [], [], []
                 uids, members = batch.column("uid").to_numpy(), batch.column("members")
                 for k, uid in enumerate(uids.tolist()):
@@ -370,7 +370,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
         return staged(both.where(common * (1 + similarity) >= similarity * (F.col("un") + F.col("vn")) - _SLACK).select("u", "v"), "linked")
 
     total = rows.agg(F.sum(F.col("size") * (1 - similarity) + 2)).first()[0] or 0
-    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(total) // 500_000 + 1)
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(total) // 125_000 + 1)
     found = staged(met(placed(False), tasks, False), "met")
     pairs = found.where("v IS NOT NULL").distinct()
     side = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"), *(F.col(s).alias(c + s) for s in BITMAP))

@@ -147,3 +147,24 @@ def test_near_copies_of_templates(spark):
     for leaf_rows, most_rows in ((1, 1 << 16), (2, 20), (1000, 1 << 16)):
         got = {r.doc_id: r.component_id for r in simhash.near_copies(docs, leaf_rows=leaf_rows, most_rows=most_rows).collect()}
         assert got == want
+
+
+def test_near_copies_at_the_threshold(spark):
+    """Pairs of similarity 0.8 to 0.82 all link; pairs of 0.74 to 0.8 never do."""
+    rng = random.Random(6)
+    rows, want = [], {}
+    while len(rows) < 240:
+        text = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 150, 400]))]
+        copy = list(text)
+        while (j := len(shingles(" ".join(text)) & (b := shingles(" ".join(copy)))) / len(shingles(" ".join(text)) | b)) > 0.82:
+            copy[rng.randrange(len(copy))] = "edit"
+        if len(rows) % 4 and j >= 0.8:
+            while (j := len(shingles(" ".join(text)) & (b := shingles(" ".join(copy)))) / len(shingles(" ".join(text)) | b)) >= 0.8:
+                copy[rng.randrange(len(copy))] = "edit"
+        if j < 0.74:
+            continue
+        want |= {len(rows): len(rows), len(rows) + 1: len(rows) + (j < 0.8)}
+        rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(copy))]
+    assert 20 < sum(k != v for k, v in want.items()) < 100
+    got = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
