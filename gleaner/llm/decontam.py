@@ -171,7 +171,8 @@ def matches(
 
 
 def clean(docs: DataFrame, items: DataFrame, least: float = 0.8, radius: int = 20, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a match, with their own columns."""
-    bad = matches(docs, items, least, radius, shingle, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col)
-    bad = staged(bad.select(F.col(id_col).alias("_bad")).distinct(), "leaks")
-    return joined_small(docs, bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of ``docs`` without a match, with their own columns; rows that share an id are judged apart."""
+    named = docs.withColumn("_row", F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text")))
+    bad = matches(named, items, least, radius, shingle, id_col="_row", text_col=text_col, item_col=item_col, item_text_col=item_text_col)
+    bad = staged(bad.select(F.col("_row").alias("_bad")).distinct(), "leaks")
+    return joined_small(named, bad, F.col("_row") == F.col("_bad"), "left_anti").drop("_row")

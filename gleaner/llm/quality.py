@@ -142,8 +142,9 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns.
 
-    Only (id, kept = false) rows travel: those that fail are few, so a small set is broadcast and the
-    texts stay where they are. Rows that share an id are judged by the worst of them.
+    Only the names of rows that fail travel, their ids, hosts and hashes of texts: they are few, so a
+    small set is broadcast and the texts stay where they are. Rows that share an id are judged apart.
     """
-    bad = staged(judged(docs, id_col, text_col, host_col, rules).where("NOT kept").select(F.col(id_col).alias("_bad")).distinct(), "rejected")
-    return joined_small(docs, bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
+    named = docs.withColumn("_row", F.struct(F.col(id_col).alias("id"), F.col(host_col).alias("host"), F.xxhash64(text_col).alias("text")))
+    bad = staged(judged(named, "_row", text_col, host_col, rules).where("NOT kept").select(F.col("_row").alias("_bad")).distinct(), "rejected")
+    return joined_small(named, bad, F.col("_row") == F.col("_bad"), "left_anti").drop("_row")

@@ -394,21 +394,23 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
 def keep_one(docs: DataFrame, similarity: float | None = None, radius: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that name their component: one document of each group stays.
 
-    Groups are those of ``near_duplicates``, or of ``near_copies`` if a similarity is given. Rows that
-    repeat an id stay once; they are looked for among the judged rows, so texts move only where there
-    are some. Rows without an id stay, as no decision can name them.
+    Groups are those of ``near_duplicates``, or of ``near_copies`` if a similarity is given. Decisions
+    name a row by its id and its text's hash, so texts move only where rows repeat and different texts
+    of one id, or of none, are judged apart. Rows without an id stay only where no other of their group has one.
     """
+    row = F.struct(F.isnull(id_col).alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text"))
+    named = docs.withColumn("_row", row)
     if similarity is None:
-        found = near_duplicates(docs, radius, shingle, id_col=id_col, text_col=text_col)
+        found = near_duplicates(named, radius, shingle, id_col="_row", text_col=text_col)
     else:
-        found = near_copies(docs, similarity, shingle, id_col=id_col, text_col=text_col)
+        found = near_copies(named, similarity, shingle, id_col="_row", text_col=text_col)
     found = staged(found, "judged")
-    copies = staged(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_copy")).distinct(), "copies")
-    kept = joined_small(docs, copies, docs[id_col] == copies["_copy"], "left_anti")
-    again = found.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("_again"))
+    copies = staged(found.where("_row <> component_id").select(F.col("_row").alias("_copy")).distinct(), "copies")
+    kept = joined_small(named, copies, F.col("_row") == F.col("_copy"), "left_anti")
+    again = found.where("_row = component_id").groupBy("_row").count().where("count > 1").select(F.col("_row").alias("_again"))
     again = staged(again, "repeated")
     if not again.limit(1).count():
-        return kept
-    same = kept[id_col] == again["_again"]
-    once = joined_small(kept, again, same, "left_semi").dropDuplicates([id_col])
-    return joined_small(kept, again, same, "left_anti").unionByName(once)
+        return kept.drop("_row")
+    same = F.col("_row") == F.col("_again")
+    once = joined_small(kept, again, same, "left_semi").dropDuplicates(["_row"])
+    return joined_small(kept, again, same, "left_anti").unionByName(once).drop("_row")

@@ -65,3 +65,10 @@ def test_blocks_find_all_within_radius():
             fp ^= 1 << b
         want = [(t, (fp ^ int(x[4])).bit_count()) for t, x in enumerate(index.items)]
         assert index.within(30, fp) == [(t, d) for t, d in want if d <= 20]
+
+
+def test_rows_of_one_id_are_judged_apart(spark):
+    rows = [(None, "a b c d e f g"), (None, "clean"), (None, None), (1, "x a b c d e f g"), (1, "clean, too")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = decontam.clean(docs, spark.createDataFrame([(0, "a b c d e f g")], "item_id long, text string"))
+    assert {tuple(r) for r in kept.collect()} == {(None, "clean"), (None, None), (1, "clean, too")}

@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from gleaner.llm import quality
 
 
@@ -38,3 +40,10 @@ def test_verdicts(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i in range(40) if i % 10} | {200}
     assert quality.judged(docs).where("doc_id = 202").count() == 2
     assert quality.judged(docs.where("false")).count() == 0
+
+
+def test_rows_of_one_id_are_judged_apart(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    rows = [(None, good, "a"), (None, "short", "a"), (None, None, "a"), (1, good, "a"), (1, "short", "a"), (2, good, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert sorted(map(str, quality.keep_good(docs).collect())) == sorted(map(str, docs.where(F.col("text") == good).collect()))

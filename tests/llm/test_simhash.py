@@ -168,3 +168,12 @@ def test_near_copies_at_the_threshold(spark):
     assert 20 < sum(k != v for k, v in want.items()) < 100
     got = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_rows_of_one_id_are_judged_apart(spark):
+    say = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    rows = [(1, say("a")), (1, say("b")), (2, say("a")), (2, say("c")), (None, say("d")), (None, say("e")), (3, say("f")), (3, say("f"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, [rows[0], rows[1], *rows[3:7]]))
+    for similarity in (None, 0.8):
+        assert sorted(str(tuple(r)) for r in simhash.keep_one(docs, similarity).collect()) == want
