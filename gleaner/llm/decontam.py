@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index blocks, exact verification.
 
 Words are runs of letters, digits and underscores, lower-cased. Every window of a document that has
-an item's number of words is compared with the item by the SimHash of its word shingles (five words;
+an item's number of words (a shorter document as a whole) is compared with the item by the SimHash of its word shingles (five words;
 the whole item if it has fewer). The fingerprints of items are indexed by eight 8-bit blocks: a
 fingerprint within ``radius`` differs in some block by at most radius div 8 bits, so a look at the
 blocks finds all within the radius. Candidates are verified by the weighted Jaccard similarity of
@@ -97,10 +97,12 @@ class Index:
             for i in self._runs(codes, k):
                 for t in starts.get(tuple(codes[i : i + k]), ()):
                     m = self.items[t][1]
-                    windows[m].update(range(max(0, i - m + k), min(i, len(words) - m) + 1))
+                    if len(words) < m:
+                        windows[m].add(0)
+                    else:
+                        windows[m].update(range(max(0, i - m + k), min(i, len(words) - m) + 1))
             for m, at in windows.items():
-                if at:
-                    self._match(words, m, k, sorted(at), least, best)
+                self._match(words, m, k, sorted(at), least, best)
         return best
 
     @staticmethod
@@ -122,12 +124,12 @@ class Index:
         low = at[0]
         shingles, bits = _bits(words[low : at[-1] + m], k)
         sums = np.concatenate([np.zeros((1, 64), np.int64), np.cumsum(bits, axis=0, dtype=np.int64)])
-        offsets, n = np.array(at) - low, m - k + 1
+        offsets, n = np.array(at) - low, min(m, len(words)) - k + 1
         for s, fp in zip(offsets.tolist(), _fingerprints(sums[offsets + n] - sums[offsets], n).tolist()):
             for t, d in self.within(m, fp):
                 here, there = Counter(shingles[s : s + n]), self.items[t][3]
                 both = sum((here & there).values())
-                found = (both / (2 * n - both), low + s, d)
+                found = (both / (n + m - k + 1 - both), low + s, d)
                 if found[0] >= least and (t not in best or (-found[0], found[1]) < (-best[t][0], best[t][1])):
                     best[t] = found
 
@@ -136,7 +138,7 @@ def matches(
     docs: DataFrame, items: DataFrame, least: float = 0.8, radius: int = 20, shingle: int = 5, block_items: int = 20_000,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """(id, item, similarity, start, n_words, distance): the best window of each item in each document."""
+    """(id, item, similarity, start, n_words, distance): the best window of each item in each document; n_words are the item's."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = items.schema[item_col].dataType
     schema = StructType([

@@ -72,3 +72,11 @@ def test_rows_of_one_id_are_judged_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = decontam.clean(docs, spark.createDataFrame([(0, "a b c d e f g")], "item_id long, text string"))
     assert {tuple(r) for r in kept.collect()} == {(None, "clean"), (None, None), (1, "clean, too")}
+
+
+def test_documents_shorter_than_the_item():
+    words = [f"w{i}" for i in range(38)]
+    index = decontam.Index([(0, " ".join(words))], 20, 5)
+    assert index.search(" ".join(words[:-1]), 0.8)[0][:2] == (33 / 34, 0)
+    assert index.search(" ".join(words[3:-3]), 0.8)[0][:2] == (28 / 34, 0)
+    assert not index.search(" ".join(words[4:-3]), 0.8) and not index.search(" ".join(words[:4]), 0.8)
