@@ -47,3 +47,12 @@ def test_rows_of_one_id_are_judged_apart(spark):
     rows = [(None, good, "a"), (None, "short", "a"), (None, None, "a"), (1, good, "a"), (1, "short", "a"), (2, good, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert sorted(map(str, quality.keep_good(docs).collect())) == sorted(map(str, docs.where(F.col("text") == good).collect()))
+
+
+def test_a_host_is_rejected_when_over_half_of_its_documents_fail(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    junk = good + " #" * 20
+    rows = [(i, good, "fine") for i in range(200)] + [(1000 + i, junk if i % 20 < 13 else good, "symbols") for i in range(200)]
+    rows += [(2000 + i, junk if i % 10 < 4 else good, "below") for i in range(200)]
+    out = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert all(r.host_rejected == (1000 <= r.doc_id < 2000) for r in out)
