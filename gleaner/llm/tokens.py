@@ -23,6 +23,7 @@ task's memory (some ten times its size). Only the id and the text are read, so o
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
@@ -30,7 +31,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from contextlib import suppress
 from functools import cache
 
 import numpy as np
@@ -47,7 +47,8 @@ from gleaner.llm.workspace import staged
 
 _MAGIC = b"GLTOK001"
 # A Latin word and the signs at its end, between which a byte-level pre-tokenizer cuts, too.
-_WORD_SIGNS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?%$&#*|]+)")
+_WORD_SIGNS = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?%$&#*|]*)")
+_ASCII_UNIT = re.compile(" ?(?:[A-Za-z]+|[.,;:!?%$&#*|]+)")
 # Texts around cuts, to see whether a tokenizer encodes pieces as it encodes the whole.
 _PROBES = ("a b", "The\nend", "it's, (well) done.\nNow 12 \u00e9t\u00e9s!", "x  y \n z", "\u65e5\u672c \u8a9e\tq", "don't we'll ##$ 3.5% a,b..c;\nd")
 
@@ -55,7 +56,7 @@ _PROBES = ("a b", "The\nend", "it's, (well) done.\nNow 12 \u00e9t\u00e9s!", "x
 class Encoder:
     """Encodes whole texts piece by piece, with a bounded memory of pieces seen."""
 
-    def __init__(self, path: str, end_id: int, most_pieces: int = 200_000, special_as_text: bool = False) -> None:
+    def __init__(self, path: str, end_id: int, most_pieces: int = 400_000, special_as_text: bool = False) -> None:
         """Keeps the ids of ``most_pieces`` pieces that came again and of about as many others. ``special_as_text`` makes the strings of special tokens ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -68,7 +69,10 @@ class Encoder:
         self.once: dict[str, bytes] = {}
         self.most = most_pieces
         self.line = self._whole(["\n"])[0]
-        self.cuts = len(self.line) == self.dtype.itemsize
+        width = self.dtype.itemsize
+        serial = np.arange(self.tokenizer.get_vocab_size(), dtype=self.dtype).tobytes()
+        self.serial = [serial[k : k + width] for k in range(0, len(serial), width)]
+        self.cuts = len(self.line) == width
         self.cuts = self.cuts and [x + self.end for x in self._whole(list(_PROBES))] == self.encode(list(_PROBES))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -80,21 +84,23 @@ class Encoder:
             return [x + self.end for x in self._whole(texts)]
         if len(self.once) > self.most:  # what came once is forgotten
             self.once = {}
-        rows, missing = [], set()
+        rows, missing, often, once = [], set(), self.often, self.once
         for text in texts:
             first, *parts = text.split(" ")
             parts.append(" " + first)
-            got = list(map(self.often.get, parts))
-            gaps = _gaps(got)
-            if any(not parts[i] or parts[i][0].isspace() for i in gaps if i < len(parts) - 1):
+            got = list(map(often.get, parts))
+            gaps = [i for i, x in enumerate(got) if x is None]
+            if "" in parts or any([parts[i][0].isspace() for i in gaps if i < len(parts) - 1]):
                 parts = _joined(parts)
-                got = list(map(self.often.get, parts))
-                gaps = _gaps(got)
+                got = list(map(often.get, parts))
+                gaps = [i for i, x in enumerate(got) if x is None]
             for i in gaps:
-                if (held := self._again(parts[i])) is None:
-                    missing.add(parts[i])
+                if (held := once.get(piece := parts[i])) is None:
+                    missing.add(piece)
                 else:
                     got[i] = held
+                    if len(often) < self.most:
+                        often[piece] = held
             rows.append((parts, got, gaps))
         learnt = self._learned(missing)
         out = []
@@ -115,23 +121,25 @@ class Encoder:
         """Encode new pieces: cut at line ends and before signs, their parts are encoded as lines of one text; odd ones alone."""
         known, cut, odd, plain = {}, [], [], []
         for piece in pieces:
-            body = piece[1:] if piece[0] == " " else piece
-            if not body:
-                known[piece] = b""
+            if m := _WORD_SIGNS.fullmatch(piece):
+                if m[2]:
+                    cut.append((piece, [m[1], " " + m[2]]))
+                else:
+                    plain.append(piece)
                 continue
+            body = piece[1:] if piece[0] == " " else piece
             lines = body.split("\n")
             if body.split() != lines:
-                odd.append(piece)
-                continue
-            parts, before = [], piece[: len(piece) - len(body)]
-            for line in lines:
-                if parts:
-                    parts.append("\n")
-                    before = " "
-                if m := _WORD_SIGNS.fullmatch(line):
-                    parts += [before + m[1], " " + m[2]]
+                if body:
+                    odd.append(piece)
                 else:
-                    parts.append(before + line)
+                    known[piece] = b""
+                continue
+            parts = []
+            for line in [piece[: len(piece) - len(body)] + lines[0], *(" " + x for x in lines[1:])]:
+                parts += ["\n"] if parts else []
+                m = _WORD_SIGNS.fullmatch(line)
+                parts += [m[1], " " + m[2]] if m and m[2] else [line]
             if len(parts) == 1:
                 plain.append(piece)
             else:
@@ -140,13 +148,16 @@ class Encoder:
         known.update(dict.fromkeys(plain))
         for _, parts in cut:
             for part in parts:
-                if part not in known and (held := self._again(part)) is not None:
-                    known[part] = held
-                elif known.get(part) is None:
-                    known[part] = None
-        plain = [x for x, held in known.items() if held is None]
-        for k in range(0, len(plain), 2048):
-            some = plain[k : k + 2048]
+                if part not in known:
+                    known[part] = self._again(part)
+        tokenize, serial, more = self.tokenizer.model.tokenize, self.serial, []
+        for piece in [x for x, held in known.items() if held is None]:
+            if _ASCII_UNIT.fullmatch(piece):  # what the pre-tokenizer leaves whole, and its signs stand for themselves in the vocabulary
+                known[piece] = b"".join([serial[t.id] for t in tokenize(piece[1:] if piece[0] == " " else "\u0120" + piece)])
+            else:
+                more.append(piece)
+        for k in range(0, len(more), 2048):
+            some = more[k : k + 2048]
             (raw,) = self._whole(["\n".join(map(_text, some))])
             ends = np.flatnonzero(np.frombuffer(raw, self.dtype) == np.frombuffer(self.line, self.dtype)[0]) * self.dtype.itemsize
             if len(ends) == len(some) - 1:
@@ -167,14 +178,6 @@ def _text(piece: str) -> str:
     return piece[1:] if piece[0] == " " else " " + piece
 
 
-def _gaps(got: list) -> list[int]:
-    gaps, at = [], -1
-    with suppress(ValueError):
-        while True:
-            gaps.append(at := got.index(None, at + 1))
-    return gaps
-
-
 def _joined(parts: list[str]) -> list[str]:
     """Pieces of a text that is cut only where no white space follows the space; the first one is last."""
     *rest, first = parts
@@ -241,6 +244,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, leve
     slim = slim.repartitionByRange("id", "h").sortWithinPartitions("id", "h", "text").drop("h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # nothing here makes reference cycles, and looking for them takes a fifth of the time
         encoder = _encoder(tokenizer_path, end_id)
         packer = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         fs, at = _open(path)
@@ -265,8 +269,11 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, leve
             out.write(np.array([place, place + len(names), n_docs, encoder.dtype.itemsize], "<i8").tobytes())
             out.close()
             yield pa.RecordBatch.from_pylist([{"part": part, "file": file, "n_docs": n_docs, "n_tokens": tokens}])
+        gc.enable()
 
-    return staged(slim.mapInArrow(run, "part long, file string, n_docs long, n_tokens long"), "manifest")
+    shape = "part long, file string, n_docs long, n_tokens long"
+    files = slim.mapInArrow(run, shape).collect()  # a row per file, as in ``read``
+    return staged(docs.sparkSession.createDataFrame(files, shape).coalesce(1), "manifest")
 
 
 def _packed(ids: pa.ChunkedArray) -> bytes:
