@@ -3,18 +3,23 @@
 Sources, in order of code point with null last, get the weights in turn and share the words of all
 documents by weight; no target exceeds ``repeats`` times its source's words, and what is cut off is
 shared by weight among the others (water filling). Each source's documents, shuffled by a hash of
-their ids, form a stream that is cut into blocks of ``block`` words. The schedule maps the points of
-the golden-ratio sequence through the cumulative block quotas to sources, ranks the slots of each
-source and joins slot j to block j mod (blocks) in pass j div (blocks). Where a source's slots miss
-its quota (by the sequence's discrepancy, a logarithm of the length), slots over the quota are
-dropped and missing ones are appended, so the words taken meet the rounded target.
-
-Null text, and text without words, has size 0 and is never taken. Repeated rows are documents of
-their own. An empty table gives an empty result.
+their ids, form a stream that is cut into blocks of equal words. The schedule maps the points of the
+golden-ratio sequence through the sources' cumulative weights (their targets, in blocks) to sources
+and ranks the slots of each source; slot j takes block j mod (blocks) in pass j div (blocks). So a
+source's number of slots, and the order of all, come from the sequence: the slots differ from the
+target by its discrepancy, a few blocks (a logarithm of the schedule's length). Slots beyond ``repeats``
+passes are left empty. Blocks have ``block`` words, fewer in a corpus of less than ``least_slots`` of
+them, so that a few blocks are little of any target.
+
+Null text, and text without words, has size 0 and is never taken. Long texts span many blocks. Repeated
+rows are documents of their own. An empty table gives an empty result. Columns of ``docs`` besides
+the three named ones may have any name.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,8 +65,8 @@ def schedule(quotas: DataFrame, total: int) -> DataFrame:
     spark = quotas.sparkSession
     cells = 1 << max(4, (4 * quotas.count()).bit_length())
     width = _SPAN // cells
-    edge = lambda c: F.floor(c.cast("decimal(20,0)") * _SPAN / total).cast("long")
-    ranges = quotas.where("slots > 0").select("sid", edge(F.col("cum") - F.col("slots")).alias("low"), edge(F.col("cum")).alias("high"))
+    edge = lambda c: F.expr(f"CAST({c} AS DECIMAL(30, 0)) * {_SPAN} div {max(total, 1)}").cast("long")
+    ranges = quotas.where("slots > 0").select("sid", edge("(cum - slots)").alias("low"), edge("cum").alias("high")).where("low < high")
     ranges = ranges.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))))
     k = F.col("k")
     high = F.lit((_GOLDEN << 31) % _SPAN) * (F.floor(k / (1 << 31)).cast("long") % 2)
@@ -69,19 +74,24 @@ def schedule(quotas: DataFrame, total: int) -> DataFrame:
     slots = spark.range(total).select(F.col("id").alias("k")).withColumn("x", point).withColumn("cell", F.floor(F.col("x") / width))
     slots = slots.join(ranges, "cell").where("x >= low AND x < high").select("k", "sid")
     slots = slots.withColumns({"piece": F.floor(k / 65536).cast("long"), "one": F.lit(1).cast("long")})
-    ranked = running_total(slots, ["sid"], "piece", ["k"], "one", "j").select("k", "sid", "j")
-    ranked = ranked.join(quotas.select("sid", "slots"), "sid")
-    had = slots.groupBy("sid").agg(F.sum("one").alias("had"))
-    missing = quotas.join(had, "sid", "left").withColumn("had", F.coalesce("had", F.lit(0))).where("had < slots")
-    missing = missing.select("sid", F.explode(F.sequence(F.col("had"), F.col("slots") - 1)).alias("j"))
-    return ranked.where("j < slots").select("k", "sid", "j").unionByName(missing.select((F.lit(total) + F.col("j")).alias("k"), "sid", "j"))
+    return running_total(slots, ["sid"], "piece", ["k"], "one", "j").select("k", "sid", "j")
 
 
-def mixed(
-    docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (5, 2, 1), repeats: int = 3, seed: int = 11,
+@dataclass(frozen=True)
+class Mix:
+    """A mix: ``docs`` (id, source, tie, size, source_size, target, taken, sid, start, blocks), ``slots`` (k, sid, j) and the words of a block."""
+
+    docs: DataFrame
+    slots: DataFrame
+    block: int
+    total: int
+
+
+def planned(
+    docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (5, 2, 1), repeats: int = 3, seed: int = 11, least_slots: int = 1 << 20,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-) -> DataFrame:
-    """(id, source, size, source_size, target, taken) of every row; ``taken`` counts repeats."""
+) -> Mix:
+    """The schedule, and what it takes of every document."""
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).cast("string").alias("source"),
@@ -90,52 +100,71 @@ def mixed(
         F.xxhash64(text_col).alias("tie"),
     )
     rows = staged(rows, "sizes")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sizes = staged(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    block = max(1, min(block, (sizes.agg(F.sum("source_size")).first()[0] or 0) // least_slots))
     plan = targets(sizes, weights, repeats)
     goal = F.least(F.floor(F.col("target") + 0.5).cast("long"), F.col("source_size") * repeats)
     plan = plan.withColumns({"goal": goal, "blocks": F.ceil(F.col("source_size") / block)})
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("goal") / F.col("source_size"))).otherwise(0)
-    rest = F.col("goal") - whole * F.col("source_size")
-    plan = plan.withColumn("slots", whole * F.col("blocks") + F.ceil(rest / block))
+    share = F.floor(F.col("goal") / F.col("source_size") * F.col("blocks") + 0.5)
+    plan = plan.withColumn("slots", F.when(F.col("goal") > 0, F.greatest(share, F.lit(1))).otherwise(0).cast("long"))
     plan = plan.withColumn("cum", F.sum("slots").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)))
-    plan = staged(plan, "plan")
-    totals = plan.agg(F.sum("slots"), F.sum("source_size")).first()
-    total = int(totals[0] or 0)
-
-    # Slots to blocks: pass and block of each, and the words taken of the block in it.
-    at = schedule(plan.select("sid", "slots", "cum"), total).join(plan.select("sid", "source_size", "blocks", "goal"), "sid")
-    passed, number = F.floor(F.col("j") / F.col("blocks")), F.col("j") % F.col("blocks")
-    start = number * block
-    take = F.least(F.lit(block), F.col("source_size") - start, F.col("goal") - passed * F.col("source_size") - start)
-    slots = at.select("sid", number.alias("block"), take.alias("take"))
-
-    # Documents to blocks: each document's place in its source's shuffled stream.
-    named = rows.join(plan.select("source", "sid", "source_size", "target"), rows["source"].eqNullSafe(plan["source"])).drop(plan["source"])
+    plan = staged(plan.coalesce(1), "plan")  # a row per source
+    total = int(plan.agg(F.sum("slots")).first()[0] or 0)
+    slots = schedule(plan.select("sid", "slots", "cum"), total).join(plan.select("sid", "blocks"), "sid")
+    slots = staged(slots.where(F.col("j") < F.col("blocks") * repeats).select("k", "sid", "j"), "slots")
+    got = slots.groupBy("sid").agg(F.count("*").alias("got"))
+    plan = plan.join(got, "sid", "left").withColumn("got", F.coalesce("got", F.lit(0)))
+
+    # Each document's place in its source's shuffled stream, and how much of it the source's slots cover.
+    plan = plan.select("source", "sid", "source_size", "target", "blocks", "got")
+    named = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).drop(plan["source"])
     named = named.withColumn("piece", F.conv(F.substring("key", 1, 3), 16, 10).cast("long"))
-    streamed = staged(running_total(named, ["sid"], "piece", ["key", "size", "tie"], "size", "start"), "streams")
-    full = streamed.where("size > 0")
-    ends = F.col("start") + F.col("size")
-    parts = full.select("sid", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((ends - 1) / block))).alias("block"))
-    low = F.greatest(F.col("start") - F.col("block") * block, F.lit(0))
-    high = F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block))
-    parts = parts.select("sid", "block", "start", low.alias("low"), high.alias("high"))
-    got = F.greatest(F.least("high", "take") - F.col("low"), F.lit(0))
-    taken = parts.join(slots, ["sid", "block"]).groupBy("sid", "start").agg(F.sum(got).alias("taken"))
-    held = streamed.join(taken, ["sid", "start"], "left")
-    return held.select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-        F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken"),
-    )
-
-
-def mix(docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (5, 2, 1), repeats: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: rows of ``docs`` repeated as often as they are taken (rounded), untaken ones left out."""
-    share = mixed(docs, block, weights, repeats, id_col=id_col, text_col=text_col, source_col=source_col)
+    streamed = running_total(named, ["sid"], "piece", ["key", "size", "tie"], "size", "start")
+    passes, rest = F.floor(F.col("got") / F.col("blocks")), F.col("got") % F.col("blocks")
+    part = F.greatest(F.least(rest * block - F.col("start"), F.col("size")), F.lit(0))
+    taken = F.when(F.col("size") > 0, passes * F.col("size") + part).otherwise(0).cast("long")
+    held = streamed.withColumn("taken", taken).select("id", "source", "tie", "size", "source_size", "target", "taken", "sid", "start", "blocks")
+    return Mix(held, slots, block, total)
+
+
+def mixed(
+    docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (5, 2, 1), repeats: int = 3, least_slots: int = 1 << 20,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+) -> DataFrame:
+    """(id, source, size, source_size, target, taken, first_slot) of every row.
+
+    ``taken`` counts repeats; ``first_slot`` is the schedule's position of the block that the document begins
+    in, null if it is not taken.
+    """
+    mix = planned(docs, block, weights, repeats, least_slots=least_slots, id_col=id_col, text_col=text_col, source_col=source_col)
+    rows = mix.docs.withColumn("j", F.when(F.col("taken") > 0, F.floor(F.col("start") / mix.block)))
+    rows = rows.join(mix.slots.withColumnRenamed("k", "first_slot"), ["sid", "j"], "left")
+    return rows.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "taken", "first_slot")
+
+
+def mix(
+    docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (5, 2, 1), repeats: int = 3, least_slots: int = 1 << 20, ordered: bool = True,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+) -> DataFrame:
+    """The mix itself: rows of ``docs`` repeated as often as they are taken (rounded), untaken ones left out.
+
+    Rows come in the order of their slots, pass by pass; without ``ordered``, for a reader that orders
+    them anew, one shuffle of the texts is saved. Of rows equal in id, source and text the most taken one counts.
+    """
+    plan = planned(docs, block, weights, repeats, least_slots=least_slots, id_col=id_col, text_col=text_col, source_col=source_col)
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    share = share.where("size > 0").select(F.col(id_col).alias("_id"), F.col("size").alias("_size"), times.alias("_times")).where("_times > 0")
-    # Rows that share id and size may differ in what is taken of them; the first in order decides.
-    share = staged(share.groupBy("_id", "_size").agg(F.max("_times").alias("_times")), "times")
-    sized = docs.withColumn("_n", n_words(F.col(text_col)))
-    # The share has a row per document, so it is never broadcast, however small it is.
-    met = sized.join(share.hint("merge"), sized[id_col].eqNullSafe(share["_id"]) & (F.col("_n") == F.col("_size")))
-    return met.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    share = plan.docs.where("taken > 0").withColumns({"times": times, "row": F.struct("id", "source", "tie")}).where("times > 0")
+    most = F.max(F.struct("times", F.struct("sid", "start", "blocks").alias("at"))).alias("most")
+    share = share.groupBy("row").agg(most).select("row", "most.times", "most.at.*")
+    copies = share.withColumn("again", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
+    if ordered:
+        copies = copies.withColumn("j", F.floor(F.col("start") / plan.block) + F.col("again") * F.col("blocks"))
+        copies = copies.join(plan.slots, ["sid", "j"], "left").withColumn("k", F.coalesce("k", F.col("j") + plan.total))
+    copies = staged(copies.select("row", "start", *(["k"] if ordered else [])), "copies")
+    row = F.struct(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("tie"))
+    whole = docs.select(F.struct("*").alias("doc"), row.alias("own"))
+    # The copies have a row per document, so they are never broadcast, however few they are.
+    met = whole.join(copies.hint("merge"), whole["own"].eqNullSafe(copies["row"]))
+    if ordered:
+        met = met.repartitionByRange("k", "start").sortWithinPartitions("k", "start")
+    return met.select("doc.*")

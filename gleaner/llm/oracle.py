@@ -64,7 +64,7 @@ QUALITY = f"""WITH {quality_verdicts()}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rejected,
   NOT base_failed AND NOT host_rejected AS kept FROM verdict"""
 
-# What the schedule takes is whole passes over a source's stream and a prefix of it, which SQL can say directly.
+# A source's slots are the golden-ratio points in its interval; they cover whole passes over its stream and a prefix of it.
 MIXING = r"""WITH sized AS (
   SELECT doc_id, source, md5('11|' || doc_id) AS key,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
@@ -73,6 +73,7 @@ src AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid
   FROM sized GROUP BY source
 ),
+unit AS (SELECT least(2048, greatest(1, CAST(sum(source_size) AS BIGINT) // 1048576)) AS block FROM src),
 weighed AS (SELECT *, 3 * source_size AS cap, [5, 2, 1][sid % 3 + 1] AS weight, sum(source_size) OVER () AS words FROM src),
 rated AS (
   SELECT *, row_number() OVER r AS rank, (words - coalesce(sum(cap) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS rate
@@ -80,17 +81,35 @@ rated AS (
 ),
 cut AS (SELECT min(rank) AS first, arg_min(rate, rank) AS rate FROM rated WHERE rate * weight <= cap),
 plan AS (
-  SELECT source, source_size, CASE WHEN rank < first THEN CAST(cap AS DOUBLE) ELSE cut.rate * weight END AS target, cap FROM rated, cut
+  SELECT source, sid, source_size, CASE WHEN rank < first THEN CAST(cap AS DOUBLE) ELSE cut.rate * weight END AS target, cap FROM rated, cut
 ),
-goals AS (SELECT *, least(CAST(floor(target + 0.5) AS BIGINT), cap) AS goal FROM plan),
+goals AS (
+  SELECT *, least(CAST(floor(target + 0.5) AS BIGINT), cap) AS goal, (source_size + block - 1) // block AS blocks FROM plan, unit
+),
+quota AS (
+  SELECT *, CASE WHEN goal > 0 THEN greatest(1, CAST(floor(goal / source_size * blocks + 0.5) AS BIGINT)) ELSE 0 END AS slots FROM goals
+),
+edged AS (
+  SELECT *, CAST(sum(slots) OVER (ORDER BY sid) AS HUGEINT) AS cum, CAST(sum(slots) OVER () AS HUGEINT) AS total FROM quota
+),
+ranges AS (SELECT sid, blocks, (cum - slots) * 4294967296 // total AS low, cum * 4294967296 // total AS high FROM edged),
+points AS (SELECT k, CAST((CAST(k AS HUGEINT) * 2654435769) % 4294967296 AS BIGINT) AS x FROM range((SELECT CAST(max(total) AS BIGINT) FROM edged)) t(k)),
+ranked AS (
+  SELECT sid, blocks, k, row_number() OVER (PARTITION BY sid ORDER BY k) - 1 AS j FROM points JOIN ranges ON x >= low AND x < high
+),
+slot AS (SELECT sid, k, j FROM ranked WHERE j < 3 * blocks),
+held AS (SELECT sid, count(*) AS got FROM slot GROUP BY sid),
 placed AS (
-  SELECT s.*, source_size, target, goal,
-    coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+  SELECT s.*, e.sid, source_size, target, blocks, block, coalesce(got, 0) AS got,
+    CAST(coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM sized s JOIN edged e ON s.source IS NOT DISTINCT FROM e.source LEFT JOIN held h ON h.sid = e.sid
+),
+took AS (
+  SELECT *, CAST(CASE WHEN size = 0 THEN 0 ELSE got // blocks * size + greatest(least(got % blocks * block - start, size), 0) END AS BIGINT) AS taken
+  FROM placed
 )
-SELECT doc_id, source, size, source_size, target,
-  CAST(CASE WHEN size = 0 THEN 0 ELSE goal // source_size * size + greatest(least(size, goal % source_size - start), 0) END AS BIGINT) AS taken
-FROM placed"""
+SELECT doc_id, source, size, source_size, target, taken, k AS first_slot
+FROM took t LEFT JOIN slot s ON t.taken > 0 AND s.sid = t.sid AND s.j = t.start // t.block"""
 
 CHAT = r"""WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,

@@ -44,9 +44,9 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document."""
+    """Words that the mix takes of every document, and its first slot in the schedule."""
     rows = mixing.mixed(_read(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "first_slot")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

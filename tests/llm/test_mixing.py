@@ -30,35 +30,91 @@ def rows_of(seed, sources, n):
     return rows + [(n, None, sources[0], 0), (n + 1, "x\ty\x1cz", None, 0), (5, rows[5][1], rows[5][2], 0)]
 
 
-@pytest.mark.parametrize("seed,sources", [(1, ["a", "b", "c", "é", "Z"]), (2, ["a"] * 30 + ["b", None, "c"])])
-def test_mix(spark, seed, sources):
-    rows = rows_of(seed, sources, 200)
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
-    out = mixing.mixed(docs, block=16).collect()
-    assert len(out) == len(rows)
+def brute_slots(sizes, want, block, repeats=3):
+    """Source -> schedule positions of its slots, from the golden-ratio points one by one."""
+    order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    blocks = {s: -(-sizes[s] // block) for s in order}
+    goals = {s: min(int(want[s] + 0.5), repeats * sizes[s]) for s in order}
+    quota = {s: max(1, int(goals[s] / sizes[s] * blocks[s] + 0.5)) if goals[s] else 0 for s in order}
+    total, edges, cum = sum(quota.values()), [], 0
+    for s in order:
+        edges.append((cum * 2**32 // total, (cum + quota[s]) * 2**32 // total, s))
+        cum += quota[s]
+    slots = defaultdict(list)
+    for k in range(total):
+        x = k * mixing._GOLDEN % 2**32
+        s = next(s for low, high, s in edges if low <= x < high)
+        if len(slots[s]) < repeats * blocks[s]:
+            slots[s].append(k)
+    return slots, blocks, quota
+
+
+def brute_mix(rows, block):
+    """Per row (source, size, taken, first_slot), and the order of the copies, word by word from the slots."""
     count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
-    sizes = defaultdict(int)
-    for _, t, s, _ in rows:
+    sizes, streams = defaultdict(int), defaultdict(list)
+    for i, (d, t, s, *_) in enumerate(rows):
         sizes[s] += count(t)
+        streams[s].append((hashlib.md5(f"11|{d}".encode()).hexdigest(), count(t), i))
     want = brute_targets(sizes)
-    streams = defaultdict(list)
-    for d, t, s, _ in rows:
-        streams[s].append((hashlib.md5(f"11|{d}".encode()).hexdigest(), count(t)))
-    taken = defaultdict(list)
-    for s, docs_of in streams.items():
-        goal, at = min(int(want[s] + 0.5), 3 * sizes[s]), 0
-        whole, rest = divmod(goal, sizes[s]) if sizes[s] else (0, 0)
-        for key, n in sorted(docs_of):
-            taken[s].append((n, whole * n + max(0, min(n, rest - at))))
-            at += n
-    got = defaultdict(list)
-    for r in out:
-        got[r.source].append((r.size, r.taken))
-        assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source]) and r.taken <= 3 * r.size
-    assert {s: sorted(x) for s, x in got.items()} == {s: sorted(x) for s, x in taken.items()}
-    again = mixing.mixed(docs.repartition(5), block=16).collect()
-    assert sorted(map(str, out)) == sorted(map(str, again))
-    assert mixing.mix(docs, block=16).columns == docs.columns
+    slots, blocks, quota = brute_slots(sizes, want, block)
+    out, order = {}, []
+    for s, docs in streams.items():
+        start = 0
+        for _, n, i in sorted(docs):
+            taken = 0
+            for j in range(len(slots[s])):
+                at = j % blocks[s] * block
+                taken += max(0, min(at + block, start + n) - max(at, start))
+            first = slots[s][start // block] if taken else None
+            out[i] = (s, n, taken, first)
+            for again in range(int(taken / n + 0.5) if n else 0):
+                j = start // block + again * blocks[s]
+                k = slots[s][j] if j < len(slots[s]) else j + sum(quota.values())
+                order.append((k, start, i))
+            start += n
+    return out, [i for *_, i in sorted(order)], want, sizes
+
+
+@pytest.mark.parametrize("seed,sources,block", [(1, ["a", "b", "c", "é", "Z"], 16), (2, ["a"] * 30 + ["b", None, "c"], 8)])
+def test_mix(spark, seed, sources, block):
+    rows = [(*r[:3], 7, 8, 9) for r in rows_of(seed, sources, 200)[:-1]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _id int, _again int, k int")
+    want, order, targets, sizes = brute_mix(rows, block)
+    got = {r.doc_id: r for r in mixing.mixed(docs, block, least_slots=1).collect()}
+    assert len(got) == len(rows)
+    for i, (d, *_) in enumerate(rows):
+        r = got[d]
+        assert (r.source, r.size, r.taken, r.first_slot) == want[i]
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(targets[r.source]) and r.taken <= 3 * r.size
+    again = mixing.mixed(docs.repartition(5), block, least_slots=1).collect()
+    assert sorted(map(str, got.values())) == sorted(map(str, again))
+    made = mixing.mix(docs, block, least_slots=1)
+    assert made.columns == docs.columns and [r.doc_id for r in made.collect()] == [rows[i][0] for i in order]
+    unordered = mixing.mix(docs, block, least_slots=1, ordered=False).collect()
+    assert sorted(r.doc_id for r in unordered) == sorted(rows[i][0] for i in order)
+
+
+def test_targets_are_met_and_the_sequence_decides(spark, monkeypatch):
+    rows = [(i, " ".join(["w"] * (i % 90)), "abcdef"[i % 7 % 6]) for i in range(3000)]
+    docs = spark.createDataFrame([*rows, (9999, "w " * 50_000, "long")], "doc_id long, text string, source string")
+    got = mixing.mixed(docs).collect()
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 10 for s in target)  # blocks of one word here
+    monkeypatch.setattr(mixing, "_GOLDEN", 3)
+    other = mixing.mixed(docs).collect()
+    assert sorted((r.doc_id, r.taken, r.first_slot or 0) for r in got) != sorted((r.doc_id, r.taken, r.first_slot or 0) for r in other)
+
+
+def test_repeated_rows(spark):
+    rows = [(5, "a b c", "x")] * 3 + [(5, "other words", "x"), (None, "no id", "y"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mixed(docs).collect()
+    assert len(got) == 6 and sum(r.taken for r in got) > 0
+    assert {tuple(r) for r in mixing.mix(docs).collect()} <= set(rows)
 
 
 def test_empty(spark):
