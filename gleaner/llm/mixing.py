@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.workspace import staged
+from gleaner.llm.workspace import alone, staged
 from gleaner.operators.running import running_total
 
 _GOLDEN = 2654435769  # odd, nearest 2^32 / golden ratio: points k * this mod 2^32
@@ -151,16 +151,19 @@ def mix(
     Rows come in the order of their slots, pass by pass; without ``ordered``, for a reader that orders
     them anew, one shuffle of the texts is saved. Of rows equal in id, source and text the most taken one counts.
     """
-    plan = planned(docs, block, weights, repeats, least_slots=least_slots, id_col=id_col, text_col=text_col, source_col=source_col)
-    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    share = plan.docs.where("taken > 0").withColumns({"times": times, "row": F.struct("id", "source", "tie")}).where("times > 0")
-    most = F.max(F.struct("times", F.struct("sid", "start", "blocks").alias("at"))).alias("most")
-    share = share.groupBy("row").agg(most).select("row", "most.times", "most.at.*")
-    copies = share.withColumn("again", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
-    if ordered:
-        copies = copies.withColumn("j", F.floor(F.col("start") / plan.block) + F.col("again") * F.col("blocks"))
-        copies = copies.join(plan.slots, ["sid", "j"], "left").withColumn("k", F.coalesce("k", F.col("j") + plan.total))
-    copies = staged(copies.select("row", "start", *(["k"] if ordered else [])), "copies")
+    def chosen() -> DataFrame:
+        plan = planned(docs, block, weights, repeats, least_slots=least_slots, id_col=id_col, text_col=text_col, source_col=source_col)
+        times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+        share = plan.docs.where("taken > 0").withColumns({"times": times, "row": F.struct("id", "source", "tie")}).where("times > 0")
+        most = F.max(F.struct("times", F.struct("sid", "start", "blocks").alias("at"))).alias("most")
+        share = share.groupBy("row").agg(most).select("row", "most.times", "most.at.*")
+        copies = share.withColumn("again", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
+        if ordered:
+            copies = copies.withColumn("j", F.floor(F.col("start") / plan.block) + F.col("again") * F.col("blocks"))
+            copies = copies.join(plan.slots, ["sid", "j"], "left").withColumn("k", F.coalesce("k", F.col("j") + plan.total))
+        return copies.select("row", "start", *(["k"] if ordered else []))
+
+    copies = alone(chosen, "copies")
     row = F.struct(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("tie"))
     whole = docs.select(F.struct("*").alias("doc"), row.alias("own"))
     # The copies have a row per document, so they are never broadcast, however few they are.

@@ -3,10 +3,13 @@
 Every document is measured once. Failures of each rule are summed by host (a document's ``source``);
 an empirical beta prior, fitted to all hosts by moments, shrinks the failure rates of small hosts
 towards the corpus rate; a host whose shrunken rate of any rule is above that rule's limit is
-rejected with all its documents. Documents without a host are judged by the base rule alone.
+rejected with all its documents. The shrunken rate is the chance that a document of the host fails, so
+the limits are one half: beyond it a document of the host is more likely bad than good. Documents
+without a host are judged by the base rule alone.
 
 Null text has no words and so fails the base rule; empty and blank texts likewise. Repeated rows are
-measured and returned one by one. An empty table gives an empty result.
+measured and returned one by one. A long text is measured whole, in memory of some ten times its
+size. Columns besides the three named ones are not read and may have any name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.workspace import joined_small, staged
+from gleaner.llm.workspace import alone, joined_small, staged
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -146,5 +149,5 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "d
     small set is broadcast and the texts stay where they are. Rows that share an id are judged apart.
     """
     named = docs.withColumn("_row", F.struct(F.col(id_col).alias("id"), F.col(host_col).alias("host"), F.xxhash64(text_col).alias("text")))
-    bad = staged(judged(named, "_row", text_col, host_col, rules).where("NOT kept").select(F.col("_row").alias("_bad")).distinct(), "rejected")
+    bad = alone(lambda: judged(named, "_row", text_col, host_col, rules).where("NOT kept").select(F.col("_row").alias("_bad")).distinct(), "rejected")
     return joined_small(named, bad, F.col("_row") == F.col("_bad"), "left_anti").drop("_row")

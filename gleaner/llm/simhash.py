@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from gleaner.llm.components import components
-from gleaner.llm.workspace import joined_small, staged
+from gleaner.llm.workspace import alone, joined_small, staged
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -294,7 +294,6 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                 uids, members = batch.column("uid").to_numpy(), batch.column("members")
                 for k, uid in enumerate(uids.tolist()):
                     x = members[k].values.to_numpy()
-                    x = x[: prefix_length(len(x), similarity)]
                     blocks = -(-_looked_up(known, texts, x) // most_rows)
                     one = np.flatnonzero(blocks <= 1)
                     parts = [(x[one], one)]
@@ -315,7 +314,9 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                     yield pa.RecordBatch.from_arrays(columns, ["leaf", "uid", "size", "pos", *more])
 
         shape = StructType([StructField(c, LongType()) for c in ["leaf", "uid", "size", "pos", *more]])
-        return texts_of.select("uid", "size", "members", *more).mapInArrow(run, shape)
+        # Only the first members, those of ``prefix_length``, go to Python.
+        first = F.expr(f"slice(members, 1, least(size, size - ceil({similarity}D * size - {_SLACK}D) + 1))")
+        return texts_of.select("uid", "size", first.alias("members"), *more).mapInArrow(run, shape)
 
     def met(groups: DataFrame, tasks: int, second: bool) -> DataFrame:
         """(u, v) that may be similar; in the first round also (leaf, null) of groups that have more."""
@@ -348,7 +349,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                     u.append(uid[a])
                     v.append(uid[b])
                     held += len(a)
-                if held > 2_000_000:  # bounds memory
+                if held > 500_000:  # bounds memory
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in _distinct(u, v)], ["u", "v"])
                     u, v, held = [], [], 0
             if u:
@@ -363,7 +364,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
         """The (u, v) whose sets are that similar."""
         pairs = staged(pairs, "candidates")
         ends = staged(pairs.select(F.col("u").alias("uid")).union(pairs.select("v")).distinct(), "ends")
-        needed = staged(joined_small(rows.select("uid", "size", "members"), ends, "uid", "left_semi"), "compared")
+        needed = joined_small(rows.select("uid", "size", "members"), ends, "uid", "left_semi")
         side = lambda c: needed.select(F.col("uid").alias(c), F.col("size").alias(c + "n"), F.col("members").alias(c + "m"))
         common = F.size(F.array_intersect("um", "vm"))
         both = pairs.join(side("u"), "u").join(side("v"), "v")
@@ -401,10 +402,9 @@ def keep_one(docs: DataFrame, similarity: float | None = None, radius: int = 3,
     row = F.struct(F.isnull(id_col).alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text"))
     named = docs.withColumn("_row", row)
     if similarity is None:
-        found = near_duplicates(named, radius, shingle, id_col="_row", text_col=text_col)
+        found = alone(lambda: near_duplicates(named, radius, shingle, id_col="_row", text_col=text_col), "judged")
     else:
-        found = near_copies(named, similarity, shingle, id_col="_row", text_col=text_col)
-    found = staged(found, "judged")
+        found = alone(lambda: near_copies(named, similarity, shingle, id_col="_row", text_col=text_col), "judged")
     copies = staged(found.where("_row <> component_id").select(F.col("_row").alias("_copy")).distinct(), "copies")
     kept = joined_small(named, copies, F.col("_row") == F.col("_copy"), "left_anti")
     again = found.where("_row = component_id").groupBy("_row").count().where("count > 1").select(F.col("_row").alias("_again"))

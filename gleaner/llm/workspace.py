@@ -10,11 +10,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local: dict[str, str] = {}
+_scratch: list[list[str]] = []  # paths of the tables staged within each open ``alone``, the innermost last
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -51,10 +53,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and return a reader of it."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Stage what ``make`` returns and delete the tables that it staged on its way."""
+    _scratch.append([])
+    try:
+        made = make()
+        passed = _scratch.pop()
+    except BaseException:
+        _scratch.pop()
+        raise
+    out = staged(made, name)
+    for path in passed:
+        remove(out.sparkSession, path)
+    return out
+
+
 def joined_small(big: DataFrame, small: DataFrame, on, how: str, most_rows: int = 200_000) -> DataFrame:
     """Join with a staged ``small`` side: broadcast if it has at most ``most_rows`` rows, else shuffle both.
 
