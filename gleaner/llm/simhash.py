@@ -239,12 +239,15 @@ def group_pairs(leaf: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity:
         yield d, a[near], b[near]
 
 
-def _distinct(u: list[np.ndarray], v: list[np.ndarray]) -> list[np.ndarray]:
-    pair = np.stack([np.concatenate(u), np.concatenate(v)], 1)
-    pair.sort(axis=1)
-    pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
-    keep = np.concatenate([[True], (pair[1:] != pair[:-1]).any(axis=1)]) if len(pair) else np.zeros(0, bool)
-    return [pair[keep, 0], pair[keep, 1]]
+def _distinct(u: list[np.ndarray], v: list[np.ndarray], d: list[np.ndarray]) -> list[np.ndarray]:
+    """Each pair once, with the least of its distances."""
+    u, v, d = (np.concatenate(x) for x in (u, v, d))
+    u, v = np.minimum(u, v), np.maximum(u, v)
+    order = np.lexsort((d, v, u))
+    u, v, d = u[order], v[order], d[order]
+    keep = np.ones(len(u), bool)
+    keep[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
+    return [u[keep], v[keep], d[keep]]
 
 
 def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf_rows: int = 16, most_rows: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,9 +255,9 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
 
     An exact join of sets, the Jaccard similarity of distinct shingles (known by their 64-bit hashes):
     in one order of all shingles, rare ones first, two sets of that similarity share a shingle among
-    the first n - ceil(similarity n) + 1 of their n. Texts that share one meet in its group. Those at
-    most ``leaf_rows`` apart there, by size, are compared first; where a group has more, all others
-    that the links so far do not connect are compared, too. Parity bitmaps reject pairs that are
+    the first n - ceil(similarity n) + 1 of their n. Texts that share one meet in its group. Neighbours
+    there, by size, are compared first, then those at most ``leaf_rows`` apart that the links so far do not
+    connect; where a group has more, all others that are not connected are compared, too. Parity bitmaps reject pairs that are
     surely apart, the whole sets decide. Equal sets are collapsed before. Groups estimated at over
     ``most_rows`` texts are cut into blocks whose pairs meet.
     """
@@ -319,7 +322,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
         return texts_of.select("uid", "size", first.alias("members"), *more).mapInArrow(run, shape)
 
     def met(groups: DataFrame, tasks: int, second: bool) -> DataFrame:
-        """(u, v) that may be similar; in the first round also (leaf, null) of groups that have more."""
+        """(u, v, d) that may be similar, d apart in a group; in the first round also (leaf, null, null) of groups that have more."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batches = [b for b in batches if b.num_rows]
@@ -331,7 +334,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
             leaf, uid, size, pos = (get(c)[order] for c in ["leaf", "uid", "size", "pos"])
             if second:
                 root, bits = get("root")[order], np.stack([get(c)[order] for c in BITMAP], 1).view(np.uint64)
-            u, v, held, large = [], [], 0, []
+            u, v, far, held, large = [], [], [], 0, []
             for d, a, b in group_pairs(leaf, size, pos, similarity):
                 if not second and d > leaf_rows:
                     large.append(leaf[a])
@@ -344,25 +347,27 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                         near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) * (1 + similarity) <= (1 - similarity) * (size[x] + size[y]) + _SLACK
                         u.append(uid[x[near]])
                         v.append(uid[y[near]])
-                        held += int(near.sum())
+                        far.append(np.full(len(u[-1]), d))
+                        held += len(u[-1])
                 else:
                     u.append(uid[a])
                     v.append(uid[b])
+                    far.append(np.full(len(a), d))
                     held += len(a)
                 if held > 500_000:  # bounds memory
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in _distinct(u, v)], ["u", "v"])
-                    u, v, held = [], [], 0
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in _distinct(u, v, far)], ["u", "v", "d"])
+                    u, v, far, held = [], [], [], 0
             if u:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _distinct(u, v)], ["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _distinct(u, v, far)], ["u", "v", "d"])
             if large:
                 more = np.unique(np.concatenate(large))
-                yield pa.RecordBatch.from_arrays([pa.array(more), pa.nulls(len(more), pa.int64())], ["u", "v"])
+                none = pa.nulls(len(more), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(more), none, none], ["u", "v", "d"])
 
-        return groups.repartition(tasks, "leaf").mapInArrow(run, "u long, v long")
+        return groups.repartition(tasks, "leaf").mapInArrow(run, "u long, v long, d long")
 
     def similar(pairs: DataFrame) -> DataFrame:
-        """The (u, v) whose sets are that similar."""
-        pairs = staged(pairs, "candidates")
+        """The staged (u, v) whose sets are that similar."""
         ends = staged(pairs.select(F.col("u").alias("uid")).union(pairs.select("v")).distinct(), "ends")
         needed = joined_small(rows.select("uid", "size", "members"), ends, "uid", "left_semi")
         side = lambda c: needed.select(F.col("uid").alias(c), F.col("size").alias(c + "n"), F.col("members").alias(c + "m"))
@@ -373,18 +378,30 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
     total = rows.agg(F.sum(F.col("size") * (1 - similarity) + 2)).first()[0] or 0
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(total) // 125_000 + 1)
     found = staged(met(placed(False), tasks, False), "met")
-    pairs = found.where("v IS NOT NULL").distinct()
+    pairs = found.where("v IS NOT NULL").groupBy("u", "v").agg(F.min("d").alias("d"))
     side = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"), *(F.col(s).alias(c + s) for s in BITMAP))
     apart = sum((F.bit_count(F.col("u" + s).bitwiseXOR(F.col("v" + s))) for s in BITMAP), F.lit(0))
     near = apart * (1 + similarity) <= (1 - similarity) * (F.col("un") + F.col("vn")) + _SLACK
-    linked = similar(pairs.join(side("u"), "u").join(side("v"), "v").where(near).select("u", "v"))
+    pairs = staged(pairs.join(side("u"), "u").join(side("v"), "v").where(near).select("u", "v", "d"), "candidates")
+
+    def apart_by(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """The pairs that the roots do not connect."""
+        for c in ("u", "v"):
+            own = roots.select(F.col("u").alias(c), F.col("v").alias("r" + c))
+            pairs = joined_small(pairs, own, c, "left").withColumn("r" + c, F.coalesce("r" + c, c))
+        return pairs.where("ru <> rv").select("u", "v")
+
+    # Whole sets are wide, so pairs that others connect are never compared.
+    linked = similar(pairs.where("d = 1").select("u", "v"))
+    beyond = staged(apart_by(pairs.where("d > 1"), components(linked)), "beyond")
+    linked = linked.unionByName(similar(beyond))
     roots = components(linked)
     large = staged(found.where("v IS NULL").select(F.col("u").alias("leaf")).distinct(), "large")
     if large.limit(1).count():
         rest = joined_small(placed(True), large, "leaf", "left_semi")
         rest = joined_small(rest, roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
-        more = met(rest.withColumn("root", F.coalesce("root", "uid")), tasks, True).distinct()
-        roots = components(linked.unionByName(similar(more)))
+        more = met(rest.withColumn("root", F.coalesce("root", "uid")), tasks, True).select("u", "v").distinct()
+        roots = components(linked.unionByName(similar(staged(more, "more"))))
     rooted = nodes.join(roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "uid"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("members")).where("members > 1")
