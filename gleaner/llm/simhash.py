@@ -171,6 +171,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: in
 
 BITS = 768  # of a parity bitmap
 BITMAP = [f"s{k}" for k in range(BITS // 64)]
+LONG, LONG_BITS = 1000, 1 << 14  # sets beyond that size have a second, longer bitmap, as theirs of ``BITS`` is full
 _SLACK = 1e-6  # of comparisons with products of a similarity: errors of rounding never drop a pair
 
 
@@ -185,9 +186,9 @@ def shingle_set(text: bytes, shingle: int = 5, seed: int = 42) -> np.ndarray:
     return np.unique(np.array(found, np.uint64).view(np.int64))
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """``BITS`` parities as signed 64-bit numbers: two sets differ in at least as many members as their bitmaps in bits."""
-    odd = np.bincount((hashes.view(np.uint64) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+def bitmap(hashes: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """``bits`` parities as signed 64-bit numbers: two sets differ in at least as many members as their bitmaps in bits."""
+    odd = np.bincount((hashes.view(np.uint64) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
@@ -275,12 +276,13 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                 ordered = [x[np.lexsort((x, _looked_up(known, texts, x)))] for x in found]
                 size = np.array([len(x) for x in found], np.int64)
                 member = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(np.concatenate(ordered)))
+                wide = pa.array([bitmap(x, LONG_BITS) if len(x) > LONG else None for x in found], pa.list_(pa.int64()))
                 columns = [np.array(key, np.uint64).view(np.int64), np.arange(uid, uid + len(found)), size, *bits.T]
                 uid += len(found)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns), member], ["id", "key", "uid", "size", *BITMAP, "members"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns), member, wide], ["id", "key", "uid", "size", *BITMAP, "members", "wide"])
 
     long = [StructField(c, LongType()) for c in ["key", "uid", "size", *BITMAP]]
-    shape = StructType([slim.schema["id"], *long, StructField("members", ArrayType(LongType()))])
+    shape = StructType([slim.schema["id"], *long, StructField("members", ArrayType(LongType())), StructField("wide", ArrayType(LongType()))])
     rows = staged(slim.mapInArrow(sets, shape), "sets")
     first = rows.groupBy("key").agg(F.min("id").alias("least"), F.min("uid").alias("uid"), F.count("*").alias("n"))
     nodes = staged(first, "nodes")
@@ -382,7 +384,18 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
     side = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"), *(F.col(s).alias(c + s) for s in BITMAP))
     apart = sum((F.bit_count(F.col("u" + s).bitwiseXOR(F.col("v" + s))) for s in BITMAP), F.lit(0))
     near = apart * (1 + similarity) <= (1 - similarity) * (F.col("un") + F.col("vn")) + _SLACK
-    pairs = staged(pairs.join(side("u"), "u").join(side("v"), "v").where(near).select("u", "v", "d"), "candidates")
+    pairs = staged(pairs.join(side("u"), "u").join(side("v"), "v").where(near).select("u", "v", "d", "un", "vn"), "near")
+
+    def still_near(pairs: DataFrame) -> DataFrame:
+        """The pairs without those of long sets that their longer bitmaps reject."""
+        long = (F.col("un") > LONG) & (F.col("vn") > LONG)
+        side = lambda c: rows.where(F.col("size") > LONG).select(F.col("uid").alias(c), F.col("wide").alias(c + "w"))
+        bits = F.aggregate(F.zip_with("uw", "vw", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
+        near = bits * (1 + similarity) <= (1 - similarity) * (F.col("un") + F.col("vn")) + _SLACK
+        kept = pairs.where(long).join(side("u"), "u").join(side("v"), "v").where(near).select(pairs.columns)
+        return pairs.where(~long).unionByName(kept)
+
+    pairs = staged(still_near(pairs), "candidates")
 
     def apart_by(pairs: DataFrame, roots: DataFrame) -> DataFrame:
         """The pairs that the roots do not connect."""
@@ -401,7 +414,9 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
         rest = joined_small(placed(True), large, "leaf", "left_semi")
         rest = joined_small(rest, roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
         more = met(rest.withColumn("root", F.coalesce("root", "uid")), tasks, True).select("u", "v").distinct()
-        roots = components(linked.unionByName(similar(staged(more, "more"))))
+        sized = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"))
+        more = staged(more.join(sized("u"), "u").join(sized("v"), "v"), "more")
+        roots = components(linked.unionByName(similar(staged(still_near(more).select("u", "v"), "compared"))))
     rooted = nodes.join(roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "uid"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("members")).where("members > 1")
