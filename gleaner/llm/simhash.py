@@ -280,6 +280,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                 columns = [np.array(key, np.uint64).view(np.int64), np.arange(uid, uid + len(found)), size, *bits.T]
                 uid += len(found)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns), member, wide], ["id", "key", "uid", "size", *BITMAP, "members", "wide"])
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     long = [StructField(c, LongType()) for c in ["key", "uid", "size", *BITMAP]]
     shape = StructType([slim.schema["id"], *long, StructField("members", ArrayType(LongType())), StructField("wide", ArrayType(LongType()))])

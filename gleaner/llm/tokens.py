@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, LongType, StructField, StructType
 
-from gleaner.llm.workspace import staged
+from gleaner.llm.workspace import small_batches, staged
 
 _MAGIC = b"GLTOK001"
 # A Latin word and the signs at its end, between which a byte-level pre-tokenizer cuts, too.
@@ -272,7 +272,8 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, leve
         gc.enable()
 
     shape = "part long, file string, n_docs long, n_tokens long"
-    files = slim.mapInArrow(run, shape).collect()  # a row per file, as in ``read``
+    with small_batches(docs.sparkSession):
+        files = slim.mapInArrow(run, shape).collect()  # a row per file, as in ``read``
     return staged(docs.sparkSession.createDataFrame(files, shape).coalesce(1), "manifest")
 
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,13 +50,26 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most_rows: int = 1000) -> Iterator[None]:
+    """While an action runs, Arrow batches hold at most that many rows: texts are wide, and each batch lies in both the JVM and Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), most_rows) if int(before) > 0 else most_rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and return a reader of it."""
     spark = df.sparkSession
     path = new_path(spark, name)
     if _scratch:
         _scratch[-1].append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
