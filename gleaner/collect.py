@@ -10,9 +10,10 @@ from __future__ import annotations
 import argparse
 import json
 import re
+import shutil
 import sys
 import time
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 
 from gleaner.operators import attempts, files, pacing, records
 from gleaner.plans import downloads, schemas
-from gleaner.plans.partitions import PAGE, WINDOW
+from gleaner.plans.partitions import PAGE, WINDOW, archived_facets, smallest
 from gleaner.plans.query_spec import YEAR_PREFIX, partition_id, quoted, signature
-from gleaner.sources import scans, sinks, web
+from gleaner.sources import scans, sinks, transport, web
 from gleaner.streaming.commit import ChangedPage, commit
 
 # Why a run ends.
@@ -33,17 +34,24 @@ TARGET, TIME, RECORDS, BUDGET, DONE = (
     "orcamento_de_transferencia_da_execucao",
     "particoes_e_fila_esgotadas",
 )
+RESERVE = "reserva_de_disco"
 NO_YEAR = "-publishDate:[* TO *]"
 ANY_YEAR = "publishDate:[* TO *]"
 RETRYABLE = {429, 500, 502, 503, 504}
 STATE = "id STRING, version BIGINT, label STRING, kind STRING, filters ARRAY<STRING>, parent_id STRING, priority BIGINT, child BIGINT, status STRING, total BIGINT, next_page INT, inaccessible BIGINT, error STRING"
 
 
+class RateLimited(ConnectionError):
+    """The API asked to wait."""
+
+
 class Collector:
+    fallback_s = 3600.0  # a wait that the server does not state
+
     def __init__(self, spark: SparkSession, config: dict, folder: str | Path, **options: str) -> None:
         """``options`` go to the web sources: agent, transport, interval_s."""
         self.spark, self.config, self.folder = spark, config, Path(folder)
-        self.options = options
+        self.options, self.transferred = options, 0
         self.folder.mkdir(parents=True, exist_ok=True)
         self.signature = signature(config, window=WINDOW, page=PAGE)
         held = self.folder / "settings.json"
@@ -70,13 +78,58 @@ class Collector:
         self.spark.createDataFrame(data, STATE).coalesce(1).write.mode("append").parquet(self._path("partitions"))
 
     def _request(self, *asked: dict) -> list:
-        """Answers of the API, cached by URL; one row per request."""
+        """Answers of the API, valid ones cached by URL; one row per request, null where a 429 came before."""
         cache = self.table("api_cache", "url STRING, sha STRING, body STRING")
-        rows = web.search(self.spark, self.config, list(asked), cache, **self.options).collect()  # a page each
-        good = [(r["url"], r["sha"], r["body"]) for r in rows if r["status"] == 200]
-        sinks.append_new(self.spark.createDataFrame(good, "url STRING, sha STRING, body STRING"), self._path("api_cache"), "url")
+        log = self.table("http_log", schemas.HTTP_LOG)
+        last = log.where("source = 'network'").agg(F.max("ts")).first()[0]
+        options = self.options | ({"last": str(last.timestamp())} if last else {}) | self._policy()
+        rows = web.search(self.spark, self.config, list(asked), cache, **options).collect()  # a page each
+        fresh = [r for r in rows if r["harvest_ts"] is not None]
+        events = [(r["harvest_ts"], r["url"], None if r["status"] is None else str(r["status"]), None, len((r["body"] or "").encode()), r["error"], "network", r["sha"]) for r in fresh]
+        if events:
+            self.spark.createDataFrame(events, schemas.HTTP_LOG).coalesce(1).write.mode("append").parquet(self._path("http_log"))
+        for r in fresh:
+            if r["page"] == 0:
+                sinks.atomic_text(self.folder / "api_robots.json", json.dumps({"answer": [r["status"], r["body"]], "at": r["harvest_ts"].timestamp()}))
+            elif r["status"] == 429:
+                self._limited(r)
+        rows = [r for r in rows if r["page"] != 0]
+        good = self.spark.createDataFrame([(r["url"], r["sha"], r["body"]) for r in rows if r["status"] == 200], "url STRING, sha STRING, body STRING")
+        sinks.append_new(good.where(records.page_error(F.try_parse_json("body")).isNull()), self._path("api_cache"), "url")
         by_place = {(r["partition_id"], r["page"]): r for r in rows}
-        return [by_place[partition_id(a.get("filters", [])), a.get("page", 1)] for a in asked]
+        got = [by_place.get((partition_id(a.get("filters", [])), a.get("page", 1))) for a in asked]
+        if any(r is None or r["status"] == 429 for r in got):
+            raise RateLimited("http_429")
+        return got
+
+    def _policy(self, ttl_s: float = 86_400) -> dict[str, str]:
+        """The policy of the API's origin, if it was asked for within ``ttl_s``."""
+        path = self.folder / "api_robots.json"
+        held = json.loads(path.read_text(encoding="utf-8")) if path.exists() else {"at": 0}
+        return {"policy": json.dumps(held["answer"])} if time.time() - held["at"] <= ttl_s else {}
+
+    def _limited(self, row, fallback_s: float | None = None) -> None:
+        """Record a 429 and until when it blocks: what the server says, or the run's own wait."""
+        now = row["harvest_ts"].astimezone(UTC)
+        wait, source = transport.wait_seconds(row["retry_after"], now.timestamp()), "server_retry_after"
+        if wait is None:
+            wait, source = self.fallback_s if fallback_s is None else fallback_s, "client_policy_invalid_retry_after" if row["retry_after"] else "client_policy_no_retry_after"
+        event = (now, row["url"], 429, row["retry_after"], now + timedelta(seconds=wait), source, (row["body"] or row["error"] or "")[:4096])
+        self.spark.createDataFrame([event], schemas.RATE_LIMITS).coalesce(1).write.mode("append").parquet(self._path("rate_limits"))
+
+    def cooldown(self, now: datetime) -> datetime | None:
+        """Until when the API is not to be asked: the last block, unless an answer came after it or it is over.
+
+        A folder whose log tells of a 429 that no block was recorded for is blocked for the run's own wait.
+        """
+        log = self.table("http_log", schemas.HTTP_LOG).where("source = 'network' AND url NOT LIKE '%/robots.txt'")
+        seen = log.agg(F.max(F.when(F.col("status").startswith("2"), F.col("ts"))).alias("good"), F.max(F.when(F.col("status") == "429", F.col("ts"))).alias("bad")).first()
+        block = self.table("rate_limits", schemas.RATE_LIMITS).agg(F.max_by(F.struct("observed_at", "blocked_until"), "observed_at").alias("b")).first()["b"]
+        at, until = (block["observed_at"], block["blocked_until"]) if block else (seen["bad"], seen["bad"] and seen["bad"] + timedelta(seconds=self.fallback_s))
+        if at is None or (seen["good"] is not None and seen["good"] > at):
+            return None
+        until = until.astimezone(UTC)
+        return until if until > now else None
 
     def _total(self, answer) -> int | None:
         try:
@@ -89,13 +142,16 @@ class Collector:
         found = {k: {str(i["value"]): int(i["count"]) for i in root.get("facets", {}).get(k, [])} for k in ("publishDate", "institution")}
         if not found["publishDate"] or not found["institution"]:
             raise ValueError("the API returned no facets")
+        values = [(field, value, count, datetime.now(UTC)) for field, counts in found.items() for value, count in counts.items()]
+        sinks.append_new(self.spark.createDataFrame(values, schemas.FACET_VALUES).coalesce(1), self._path("facet_values"), "field", "value")
         return root["resultCount"], found["publishDate"], found["institution"]
 
     def validate(self, strict: bool = True) -> dict:
         """Check the partition algebra on the smallest year and the first institution; all three checks are reported."""
         root, years, insts = self._facets()
-        year = min((y for y in years if years[y] > 0), key=lambda y: (years[y], y))
-        inst, at = next(iter(insts)), YEAR_PREFIX + year
+        year = min((y for y in years if years[y] > 0), key=lambda y: years[y])  # of equal ones the first listed
+        held = archived_facets(self.table("facet_values", schemas.FACET_VALUES), self.table("api_cache", "url STRING, sha STRING, body STRING"), "institution")
+        inst, at = smallest(held).first()["value"], YEAR_PREFIX + year
         asks = [[at], [at, quoted("institution", inst)], [at, quoted("institution", inst, True)], [NO_YEAR], [ANY_YEAR, *(quoted("publishDate", y, True) for y in years)]]
         by_year, child, residual, none, other = (self._total(r) for r in self._request(*({"filters": f, "limit": 1} for f in asks)))
         last = max(1, -(-min(child, WINDOW) // PAGE))
@@ -203,7 +259,14 @@ class Collector:
         named = held.withColumn("files", F.transform("files", lambda f: F.struct(f["sha256"].alias("sha"), f["path"].alias("path"), f["bytes"].alias("bytes"))))
         valid = files.finished(named, sinks.Packer(self.spark, self.folder / "batches", 1).archived(), archive)
         todo = downloads.queue(self.records(), valid, retry_s, F.lit(as_of), most).persist()
-        owned = held.select("record_id", F.explode("files").alias("f")).select("record_id", F.col("f.url").alias("url"))
+        there = archive.withColumnRenamed("bytes", "size")
+        each = held.join(todo.select("record_id"), "record_id", "left_semi").select("record_id", F.posexplode("files").alias("n", "f"))
+        each = each.join(there, F.col("f.path") == F.col("path")).where("size = f.bytes")
+        kept = each.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "f"))), lambda x: x["f"]).alias("files"))
+        told = held.join(todo.select("record_id"), "record_id", "left_semi").select("record_id", "metadata_from_html")
+        slim = F.transform(F.coalesce("files", F.array().cast(f"array<{schemas.FILE}>")), lambda f: F.struct(f["sha256"].alias("sha256"), f["path"].alias("path"), f["bytes"].alias("bytes"), f["url"].alias("url")))
+        prior = told.join(kept, "record_id", "left").select("record_id", slim.alias("files"), "metadata_from_html").persist()
+        owned = prior.select("record_id", F.explode("files.url").alias("url"))
         first_list = [tuple(r) for r in downloads.first_urls(todo, owned).collect()]  # of at most ``most`` records
         first = downloads.classified(self._fetched(first_list, limits)).persist()
         links, pages = downloads.second_urls(first)
@@ -214,16 +277,18 @@ class Collector:
         columns = ["record_id", "depth", "url", "at", "final_url", "kind", "sha256", "bytes", "status", "error", "stage"]
         many = F.lit(False).alias("too_many")
         tried = first.where("status IS NOT NULL").select(*columns, many).unionByName(second.select(*columns, many)).unionByName(pages.select(*columns, "too_many"))
-        done = downloads.results(todo, tried, F.lit(as_of))
+        done = downloads.results(todo, tried, F.lit(as_of), prior, downloads.page_metadata(first))
+        log = fetched.select(F.col("at").alias("ts"), "url", F.coalesce(F.col("http_status").cast("string"), F.col("error")).alias("status"), F.lit(None).cast("int").alias("attempt"), "bytes", "error", F.lit("download").alias("source"), F.col("sha256"))
+        log.write.mode("append").parquet(self._path("http_log"))
+        self.transferred += fetched.agg(F.coalesce(F.sum("transferred"), F.lit(0))).first()[0]
         n = todo.count()
         shaped = self.spark.createDataFrame([], schemas.RESULTS)
         done = shaped.unionByName(done.withColumns({
             "files": F.transform("files", lambda f: F.struct(f["sha256"].alias("sha256"), f["path"].alias("path"), f["bytes"].alias("bytes"), f["url"].alias("url"), F.lit("pdf").alias("kind"))),
             "attempts": F.transform("attempts", lambda a: F.struct(*(a[c].alias(c) for c in ("url", "at", "depth", "final_url", "kind", "sha256", "bytes", "status", "reason", "stage")), F.lit(None).cast("string").alias("run_id"))),
-            "metadata_from_html": F.lit(None).cast("array<map<string,array<string>>>"),
         }))
         done.write.mode("append").parquet(self._path("results"))
-        for df in (todo, first, second):
+        for df in (todo, first, second, prior):
             df.unpersist()
         return n
 
@@ -244,37 +309,66 @@ class Collector:
     def candidates(self) -> int:
         return downloads.work_files(self.results()).where("NOT is_site").select("sha256").distinct().count()
 
-    def run(self, target: int, seconds: float, target_bytes: int, retry_s: int = 86_400, most_records: int | None = None, limits: dict | None = None, max_waits: int = 4, wait_s: float = 3600.0, sleep=time.sleep) -> dict:
-        """Alternate downloads and harvesting until a limit is met or nothing is left; then pack and report."""
-        end, tried, waits = time.monotonic() + seconds, 0, 0
+    def run(
+        self, target: int, seconds: float, target_bytes: int, retry_s: int = 86_400, most_records: int | None = None, limits: dict | None = None, max_waits: int = 4,
+        wait_s: float = 3600.0, budget_bytes: int = 20 << 30, reserve_bytes: int = 0, sleep=time.sleep, clock=lambda: datetime.now(UTC),
+    ) -> dict:
+        """Alternate downloads and harvesting until a limit is met or nothing is left; then pack and report.
+
+        While the API asks to wait, in this run or before it, only downloads go on. Limits are looked at
+        between cycles of at most 50 records; what a cycle may transfer is what the budget has left.
+        """
+        self.fallback_s = wait_s
+        end, tried, waits = clock() + timedelta(seconds=seconds), 0, 0
         packer = sinks.Packer(self.spark, self.folder / "batches", target_bytes)
         metadata = lambda: self.table("records", schemas.RECORDS).select("record_id", "payload")
-        if not (self.folder / "reports/partition_validation.json").exists():
-            self.validate()
-        self.plan()
-        started = datetime.now(UTC)
+        started = clock()
+        ready = False
         while True:
             room = None if most_records is None else most_records - tried
-            n = self.download(started, retry_s, min(50, room) if room is not None else 50, limits) if room is None or room > 0 else 0
+            left = budget_bytes - self.transferred
+            n = 0
+            if left > 0 and (room is None or room > 0):
+                n = self.download(started, retry_s, min(50, room) if room is not None else 50, (limits or {}) | {"budget_bytes": left})
             tried += n
             packer.close_all(self.results(), metadata())
-            if self.candidates() >= target:
-                reason = TARGET
-                break
-            if time.monotonic() >= end:
-                reason = TIME
-                break
-            if most_records is not None and tried >= most_records:
-                reason = RECORDS
+            reason = (
+                TARGET if self.candidates() >= target
+                else RESERVE if shutil.disk_usage(self.folder).free <= reserve_bytes
+                else TIME if clock() >= end
+                else RECORDS if most_records is not None and tried >= most_records
+                else BUDGET if self.transferred >= budget_bytes
+                else None
+            )
+            if reason:
                 break
+            if until := self.cooldown(clock()):
+                if n:
+                    continue  # the queue first
+                if until >= end:
+                    reason = f"{TIME}_durante_espera_429"
+                    break
+                while (pause := (until - clock()).total_seconds()) > 0:
+                    sleep(min(30.0, pause))
+                continue
             try:
+                if not ready:
+                    if not (self.folder / "reports/partition_validation.json").exists():
+                        self.validate()
+                    self.plan()
+                    ready = True
                 if not self.harvest_one() and not n:
                     reason = DONE
                     break
+            except RateLimited:
+                waits += 1
+                if waits > max_waits:
+                    reason = "rate_limit_429_em_harvest; retome mais tarde"
+                    break
             except ConnectionError as error:
                 waits += 1
-                if waits > max_waits or time.monotonic() + wait_s >= end:
-                    reason = f"rate_limit_429_em_harvest; {error}"
+                if waits > max_waits or clock() + timedelta(seconds=wait_s) >= end:
+                    reason = f"erro_de_rede_em_harvest; {error}"
                     break
                 sleep(pacing_wait(wait_s, waits))
         if reason in (TARGET, DONE):
@@ -325,8 +419,10 @@ def main(argv: list[str] | None = None) -> int:
         if a.validate_only:
             collector.validate()
         else:
-            limits = {"budget_bytes": int(a.budget_gb * 2**30)}
-            collector.run(a.target_pdfs, a.max_hours * 3600, int(a.batch_gb * 2**30), int(a.repository_retry_hours * 3600), a.max_records, limits, a.max_rate_limit_waits, a.rate_limit_wait_minutes * 60)
+            collector.run(
+                a.target_pdfs, a.max_hours * 3600, int(a.batch_gb * 2**30), int(a.repository_retry_hours * 3600), a.max_records, None,
+                a.max_rate_limit_waits, a.rate_limit_wait_minutes * 60, int(a.budget_gb * 2**30), int(a.reserve_gb * 2**30),
+            )
     except KeyboardInterrupt:
         collector.report("interrompido_pelo_usuario")
         return 130

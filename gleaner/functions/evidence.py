@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Headers that say why and until when a request was refused.
 HEADERS = ("retry-after", "content-type", "date", "server", "x-ratelimit-limit", "x-ratelimit-remaining", "x-ratelimit-reset")
 BODY_BYTES, EXCERPT = 64 * 1024, 4096
 
 
+@F.pandas_udf(StringType())
+def _decoded(raw: pd.Series) -> pd.Series:
+    """UTF-8 with replacements, as a body may be in another charset or cut inside a character."""
+    return raw.map(lambda x: None if x is None else x.decode("utf-8", "replace"))
+
+
 def excerpt(body: Column) -> Column:
     """The start of a body of bytes as text with control characters blanked."""
-    text = F.decode(F.substring(body, 1, BODY_BYTES), "UTF-8")
+    text = _decoded(F.substring(body, 1, BODY_BYTES))
     return F.substring(F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", " "), 1, EXCERPT)
 
 

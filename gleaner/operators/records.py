@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # The reason codes of rejected and flagged records.
 NO_ID = "record_id_ausente_ou_invalido"
@@ -13,7 +17,7 @@ ODD_TITLE = "titulo_tipo_inesperado"
 NO_URL = "_e_sem_url_utilizavel"
 THESIS_FORMATS = ("masterThesis", "doctoralThesis")
 
-PAGE_SCHEMA = "status STRING, resultCount BIGINT, records ARRAY<VARIANT>"
+_BLANK = r"(?U)^[\s\x1C-\x1F]*$"
 
 
 def title_issue(title: Column, kind: Column | None = None) -> Column:
@@ -21,7 +25,7 @@ def title_issue(title: Column, kind: Column | None = None) -> Column:
     issue = F.when(title.isNull(), NO_TITLE)
     if kind is not None:
         issue = F.when(kind.isNull() | (kind == "VOID"), NO_TITLE).when(kind != "STRING", ODD_TITLE)
-    return issue.when(F.trim(title) == "", BLANK_TITLE)
+    return issue.when(title.rlike(_BLANK), BLANK_TITLE)
 
 
 def usable_urls(urls: Column) -> Column:
@@ -31,56 +35,74 @@ def usable_urls(urls: Column) -> Column:
 
 def rejected(record_id: Column, issue: Column, n_usable: Column) -> Column:
     """The reason to reject a record, null if it is accepted."""
-    bad_id = record_id.isNull() | (F.trim(record_id) == "")
+    bad_id = record_id.isNull() | record_id.rlike(_BLANK)
     return F.when(bad_id, NO_ID).when(issue.isNotNull() & (n_usable == 0), F.concat(issue, F.lit(NO_URL)))
 
 
+def _flat(value: object) -> list[str]:
+    """The strings of nested lists, in order; a stack holds what is still to come, so depth is no limit."""
+    out, rest = [], [value]
+    while rest:
+        item = rest.pop()
+        if isinstance(item, str):
+            out.append(item)
+        elif isinstance(item, list):
+            rest += reversed(item)
+    return out
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _flat_json(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: [] if t is None else _flat(json.loads(t)))
+
+
 def strings(value: Column) -> Column:
-    """All strings of a variant that is a string or lists nested up to two deep, in order."""
-    kind = F.schema_of_variant(value)
-    one = F.when(kind == "STRING", F.array(F.try_variant_get(value, "$", "string")))
-    flat = F.try_variant_get(value, "$", "array<variant>")
-    inner = F.transform(flat, lambda v: F.when(
-        F.schema_of_variant(v) == "STRING", F.array(F.try_variant_get(v, "$", "string"))
-    ).otherwise(F.filter(F.coalesce(F.transform(
-        F.try_variant_get(v, "$", "array<variant>"), lambda w: F.when(F.schema_of_variant(w) == "STRING", F.try_variant_get(w, "$", "string"))
-    ), F.array().cast("array<string>")), lambda s: s.isNotNull())))
-    return F.coalesce(one, F.flatten(inner), F.array().cast("array<string>"))
+    """All strings of a variant that is a string or lists nested to any depth, in order."""
+    return _flat_json(F.to_json(value))
+
+
+def page_error(page: Column) -> Column:
+    """Why a variant is no valid answer, null if it is: status OK, a whole resultCount of 0 or more, a list of records, no accepted id twice."""
+    at = lambda p, t: F.try_variant_get(page, p, t)
+    bad_status = F.coalesce(at("$.status", "string") != "OK", F.lit(True))
+    count_kind = F.schema_of_variant(at("$.resultCount", "variant"))
+    bad_shape = at("$.records", "array<variant>").isNull() | F.coalesce(count_kind != "BIGINT", F.lit(True)) | F.coalesce(at("$.resultCount", "bigint") < 0, F.lit(True))
+    ids = F.filter(F.transform(at("$.records", "array<variant>"), lambda r: F.when(_reason(r).isNull(), _text(r, "id"))), lambda i: i.isNotNull())
+    repeated = F.size(F.array_distinct(ids)) < F.size(ids)
+    return F.when(bad_status, "resposta_erro_api").when(bad_shape, "estrutura_inesperada").when(repeated, "ids_repetidos")
+
+
+def _text(record: Column, key: str) -> Column:
+    """The value of a key if it is a string."""
+    return F.when(F.schema_of_variant(F.try_variant_get(record, f"$.{key}", "variant")) == "STRING", F.try_variant_get(record, f"$.{key}", "string"))
+
+
+def _urls(record: Column) -> Column:
+    return F.filter(F.transform(F.try_variant_get(record, "$.urls", "array<variant>"), lambda u: _text(u, "url")), lambda u: u.isNotNull())
+
+
+def _issue(record: Column) -> Column:
+    return title_issue(F.try_variant_get(record, "$.title", "string"), F.schema_of_variant(F.try_variant_get(record, "$.title", "variant")))
+
+
+def _reason(record: Column) -> Column:
+    return rejected(_text(record, "id"), _issue(record), F.coalesce(F.size(usable_urls(_urls(record))), F.lit(0)))
 
 
 def validated(pages: DataFrame, body: str = "body") -> DataFrame:
     """Rows of raw pages (any key columns and a JSON ``body``) exploded to records with verdicts.
 
     Adds page_error (null if the page is valid: an object with status OK, a whole resultCount of 0 or
-    more and a list of records, no id twice), position, record, record_id, title, flags, urls and
+    more and a list of records, no accepted id twice), position, record, record_id, title, flags, urls and
     reject_reason. A page without records, or with an error, has one row with null record.
     """
-    page = F.try_parse_json(F.col(body))
-    at = lambda p, t: F.try_variant_get("_page", p, t)
-    out = pages.withColumn("_page", page)
-    count_kind = F.schema_of_variant(at("$.resultCount", "variant"))
-    bad_status = F.coalesce(at("$.status", "string") != "OK", F.lit(True))
-    bad_shape = at("$.records", "array<variant>").isNull() | F.coalesce(count_kind != "BIGINT", F.lit(True)) | F.coalesce(at("$.resultCount", "bigint") < 0, F.lit(True))
-    out = out.withColumn("page_error", F.when(bad_status, "resposta_erro_api").when(bad_shape, "estrutura_inesperada"))
-    out = out.withColumn("total", at("$.resultCount", "bigint"))
-    rows = F.when(F.col("page_error").isNull(), at("$.records", "array<variant>"))
-    out = out.withColumn("_rows", rows)
-    ids = F.filter(F.transform("_rows", lambda r: F.when(F.schema_of_variant(F.try_variant_get(r, "$.id", "variant")) == "STRING", F.try_variant_get(r, "$.id", "string"))), lambda i: i.isNotNull() & (F.trim(i) != ""))
-    out = out.withColumn("page_error", F.coalesce("page_error", F.when(F.size(F.array_distinct(ids)) < F.size(ids), "ids_repetidos")))
-    out = out.withColumn("_rows", F.when(F.col("page_error").isNull(), F.col("_rows"))).select(*[c for c in out.columns if c != "_rows"], F.posexplode_outer("_rows").alias("position", "record"))
-    get = lambda p, t: F.try_variant_get("record", p, t)
-    id_kind, title_kind = F.schema_of_variant(get("$.id", "variant")), F.schema_of_variant(get("$.title", "variant"))
-    out = out.withColumns({
-        "record_id": F.when(id_kind == "STRING", get("$.id", "string")),
-        "title": F.when(title_kind == "STRING", get("$.title", "string")),
-        "_issue": title_issue(get("$.title", "string"), title_kind),
-        "urls": F.filter(F.transform(get("$.urls", "array<variant>"), lambda u: F.when(F.schema_of_variant(F.try_variant_get(u, "$.url", "variant")) == "STRING", F.try_variant_get(u, "$.url", "string"))), lambda u: u.isNotNull()),
-    })
-    out = out.withColumns({
-        "reject_reason": F.when(F.col("record").isNotNull(), rejected(F.col("record_id"), F.col("_issue"), F.coalesce(F.size(usable_urls(F.col("urls"))), F.lit(0)))),
-        "flags": F.array_compact(F.array("_issue")),
-        "title": F.when(F.col("_issue").isNull(), F.col("title")),
-    })
+    out = pages.withColumn("_page", F.try_parse_json(F.col(body)))
+    out = out.withColumns({"page_error": page_error(F.col("_page")), "total": F.try_variant_get("_page", "$.resultCount", "bigint")})
+    rows = F.when(F.col("page_error").isNull(), F.try_variant_get("_page", "$.records", "array<variant>"))
+    out = out.select(*out.columns, F.posexplode_outer(rows).alias("position", "record"))
+    record = F.col("record")
+    out = out.withColumns({"record_id": _text(record, "id"), "_issue": _issue(record), "urls": _urls(record), "reject_reason": F.when(record.isNotNull(), _reason(record))})
+    out = out.withColumns({"title": F.when(F.col("_issue").isNull(), _text(record, "title")), "flags": F.array_compact(F.array("_issue"))})
     return out.drop("_page", "_issue", body)
 
 

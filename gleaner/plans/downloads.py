@@ -5,8 +5,10 @@ Depth is fixed at one, so the search is two table expansions instead of a queue
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gleaner.functions import html
 from gleaner.functions.urls import site_document
@@ -41,11 +43,26 @@ def first_urls(rows: DataFrame, owned: DataFrame) -> DataFrame:
     return files.capped(each, "record_id", "position", URLS_PER_RECORD).select("record_id", "url", F.lit(0).alias("depth"))
 
 
+@F.pandas_udf(StringType())
+def decoded(content: pd.Series, charset: pd.Series) -> pd.Series:
+    """Bytes as text in the response's charset (UTF-8 if it is unknown); what is malformed is replaced."""
+
+    def one(raw: bytes | None, name: str | None) -> str | None:
+        if raw is None:
+            return None
+        try:
+            return raw.decode(name or "utf-8", "replace")
+        except LookupError:
+            return raw.decode("utf-8", "replace")
+
+    return pd.Series([one(raw, name) for raw, name in zip(content, charset)], dtype=object)
+
+
 def classified(fetched: DataFrame) -> DataFrame:
     """Fetched rows with kind and, for what is no page to look into, status."""
     kind = F.when(F.col("content").isNotNull(), files.content_kind(F.col("content"), F.col("content_type")))
     rows = fetched.withColumn("kind", kind)
-    rows = rows.withColumn("html", F.when(F.col("kind") == "html", F.decode("content", "UTF-8")))
+    rows = rows.withColumn("html", decoded(F.when(F.col("kind") == "html", F.col("content")), F.col("charset")))
     status = (
         F.when(F.col("error").isNotNull(), F.col("error"))
         .when(F.col("kind") == "pdf", "pdf_obtido")
@@ -74,27 +91,50 @@ def second_urls(first: DataFrame) -> tuple[DataFrame, DataFrame]:
     return taken.select("record_id", "url", F.lit(1).alias("depth")).distinct(), judged.drop("key", "all", "html")
 
 
-def results(rows: DataFrame, tried: DataFrame, finished_at: Column) -> DataFrame:
-    """A result per record from its tried URLs: (record_id, title, status, files, attempts, limited, finished_at).
+def page_metadata(classified_rows: DataFrame) -> DataFrame:
+    """(record_id, fields): what each record's pages say in their metadata, a map per page that says something."""
+    pages = classified_rows.where("html IS NOT NULL AND status IS NULL").withColumn("key", F.concat_ws("\x00", "record_id", "url"))
+    found = html.metadata(pages, "key").where(F.size("fields") > 0)
+    return found.select(F.substring_index("key", "\x00", 1).alias("record_id"), "fields")
+
+
+def results(rows: DataFrame, tried: DataFrame, finished_at: Column, prior: DataFrame | None = None, metadata: DataFrame | None = None) -> DataFrame:
+    """A result per record from its tried URLs: (record_id, title, status, files, attempts, metadata_from_html, limited, finished_at).
 
     ``tried`` has record_id, depth, url, at, final_url, kind, sha256, bytes, status, error, stage and
     too_many; pages of the second depth that were not looked into have status limite_profundidade.
+    ``prior`` has record_id, files (sha256, path, bytes, url) that are still there and
+    metadata_from_html: what a record has obtained stays, and comes first.
     """
+    spark, none = rows.sparkSession, "record_id string, files array<struct<sha256 string, path string, bytes bigint, url string>>, metadata_from_html array<map<string, array<string>>>"
+    prior = spark.createDataFrame([], none) if prior is None else prior
+    metadata = spark.createDataFrame([], "record_id string, fields map<string, array<string>>") if metadata is None else metadata
+    had = prior.select("record_id", F.explode("files.sha256").alias("sha256")).distinct().withColumn("_had", F.lit(True))
     order = F.struct("depth", "at", "url")
     earlier = tried.where("kind = 'pdf'").groupBy("record_id", "sha256").agg(F.min(order).alias("_first"))
-    marked = tried.join(earlier, ["record_id", "sha256"], "left")
-    status = F.when((F.col("status") == "pdf_obtido") & (order != F.col("_first")), "pdf_duplicado").otherwise(F.col("status"))
-    marked = marked.withColumn("status", status)
+    marked = tried.join(earlier, ["record_id", "sha256"], "left").join(had, ["record_id", "sha256"], "left")
+    again = F.coalesce(order != F.col("_first"), F.lit(False)) | F.coalesce("_had", F.lit(False))
+    marked = marked.withColumn("status", F.when((F.col("status") == "pdf_obtido") & again, "pdf_duplicado").otherwise(F.col("status")))
     event = F.struct("depth", "at", "url", "final_url", "kind", "sha256", "bytes", "status", F.col("error").alias("reason"), "stage")
-    file = F.when(F.col("status") == "pdf_obtido", F.struct("sha256", F.concat(F.lit("raw/pdf/"), F.substring("sha256", 1, 2), F.lit("/"), "sha256", F.lit(".pdf")).alias("path"), "bytes", F.col("final_url").alias("url")))
+    path = F.concat(F.lit("raw/pdf/"), F.substring("sha256", 1, 2), F.lit("/"), "sha256", F.lit(".pdf"))
+    file = F.when(F.col("status") == "pdf_obtido", F.struct("sha256", path.alias("path"), "bytes", F.col("final_url").alias("url")))
     done = marked.groupBy("record_id").agg(
-        F.array_sort(F.collect_list(event)).alias("attempts"), F.array_sort(F.collect_list(file)).alias("files"), F.bool_or(F.coalesce("too_many", F.lit(False))).alias("_many")
+        F.array_sort(F.collect_list(event)).alias("attempts"), F.array_sort(F.collect_list(file)).alias("_new"), F.bool_or(F.coalesce("too_many", F.lit(False))).alias("_many")
     )
-    out = rows.select("record_id", "title", F.size("urls").alias("_urls")).join(done, "record_id", "left")
-    out = out.withColumns({"files": F.coalesce("files", F.array()), "attempts": F.coalesce("attempts", F.array()), "_many": F.coalesce("_many", F.lit(False))})
+    said = metadata.groupBy("record_id").agg(F.collect_list("fields").alias("_said"))
+    out = rows.select("record_id", "title", F.size("urls").alias("_urls")).join(done, "record_id", "left").join(said, "record_id", "left")
+    out = out.join(prior.select("record_id", F.col("files").alias("_old"), F.col("metadata_from_html").alias("_told")), "record_id", "left")
+    empty = F.array()
+    known = F.coalesce("_told", empty)
+    told = lambda: F.transform(known, lambda m: F.to_json(m))  # noqa: E731  maps cannot be compared, their JSON can
+    out = out.withColumns({
+        "files": F.concat(F.coalesce("_old", empty), F.coalesce("_new", empty)),
+        "attempts": F.coalesce("attempts", empty), "_many": F.coalesce("_many", F.lit(False)),
+        "metadata_from_html": F.concat(known, F.filter(F.coalesce("_said", empty), lambda m: ~F.array_contains(told(), F.to_json(m)))),
+    })
     limited = attempts.limited(F.col("attempts.status"), F.col("_many"), F.col("_urls") > URLS_PER_RECORD)
     return out.select(
-        "record_id", "title", attempts.result_status(F.size("files"), F.col("_urls")).alias("status"), "files", "attempts",
+        "record_id", "title", attempts.result_status(F.size("files"), F.col("_urls")).alias("status"), "files", "attempts", "metadata_from_html",
         F.coalesce(limited, F.lit(False)).alias("limited"), finished_at.alias("finished_at"),
     )
 

@@ -30,6 +30,15 @@ def smallest(counts: DataFrame) -> DataFrame:
     return counts.where("count > 0").agg(F.min(F.struct("count", "value")).alias("m")).select("m.value", "m.count")
 
 
+def archived_facets(values: DataFrame, answers: DataFrame, field: str) -> DataFrame:
+    """(value, count) of a field from stored facet values (field, value, count) and, where they lack a value, from cached answers (url, body)."""
+    item = "array<struct<value: string, count: bigint>>"
+    found = answers.select("url", F.explode(F.try_variant_get(F.try_parse_json("body"), f"$.facets.{field}", item)).alias("i"))
+    found = found.where("i.value IS NOT NULL AND i.count IS NOT NULL").select("i.value", "i.count", F.col("url").alias("source"))
+    held = values.where(F.col("field") == field).select("value", "count", F.lit("").alias("source"))  # before any URL
+    return held.unionByName(found).groupBy("value").agg(F.min_by("count", "source").alias("count"))
+
+
 def cover(corpus: DataFrame, years: DataFrame) -> DataFrame:
     """(label, kind, priority, total): exposed years, other years and no year, in this order."""
     order = Window.orderBy(F.col("value").desc())  # a row per exposed year

@@ -30,9 +30,10 @@ REDIRECTS = frozenset({301, 302, 303, 307, 308})
 class FetchError(Exception):
     """A failure with a fixed code and the stage (robots or resource) that it happened in."""
 
-    def __init__(self, code: str, stage: str, message: str = "", status: int | None = None) -> None:
+    def __init__(self, code: str, stage: str, message: str = "", status: int | None = None, wait: str | None = None) -> None:
+        """``wait`` is the Retry-After header of the answer that ended it."""
         super().__init__(message or code)
-        self.code, self.stage, self.status = code, stage, status
+        self.code, self.stage, self.status, self.wait = code, stage, status, wait
 
 
 class _NoRedirect(HTTPRedirectHandler):
@@ -67,6 +68,16 @@ def wait_seconds(raw: str | None, now: float) -> float | None:
         return None
 
 
+def retried(action: Callable[[], object], error: type[Exception], pauses: Iterable[float], sleep: Callable[[float], None] = time.sleep) -> object:
+    """The action's result; after each error a pause, after the last pause the error counts."""
+    for pause in pauses:
+        try:
+            return action()
+        except error:
+            sleep(pause)
+    return action()
+
+
 @dataclass
 class Limits:
     """Ceilings of one client: bytes of a file, bytes of all files, tries, redirects, waits."""
@@ -79,6 +90,8 @@ class Limits:
     policy_redirects: int = 6
     interval_s: float = 1.0
     longest_wait_s: float = 60.0
+    retry_base_s: float = 1.0
+    retry_429: bool = True
 
 
 @dataclass
@@ -94,6 +107,7 @@ class Client:
     last: dict[str, float] = field(default_factory=dict)
     delays: dict[str, float] = field(default_factory=dict)
     policies: dict[str, RobotFileParser | FetchError | None] = field(default_factory=dict)
+    bodies: dict[str, tuple[str, int, str]] = field(default_factory=dict)  # origin -> URL, status and text of a policy asked for
 
     def fetch(self, url: str) -> dict:
         """(url, content_type, charset, sha256, bytes, content) of a resource behind its redirects."""
@@ -128,12 +142,12 @@ class Client:
                 if last:
                     raise FetchError("timeout" if isinstance(error, TimeoutError) else "erro_rede", stage, str(error)) from error
                 status, headers = 0, {}
-            if status and (status not in RETRIED or last):
+            if status and (status not in RETRIED or last or (status == 429 and not self.limits.retry_429)):
                 return status, headers, body
             wait = wait_seconds(headers.get("retry-after"), self.clock()) or 0.0
             if wait > self.limits.longest_wait_s:
-                raise FetchError("retry_after", stage, status=status)
-            self.sleep(max(wait, 2.0**attempt + random.random()))
+                raise FetchError("retry_after", stage, status=status, wait=headers.get("retry-after"))
+            self.sleep(min(max(wait, self.limits.retry_base_s * 2.0**attempt + random.random()), self.limits.longest_wait_s))
         raise AssertionError
 
     def _once(self, url: str, ceiling: int, stage: str) -> tuple[int, dict[str, str], bytes]:
@@ -177,24 +191,39 @@ class Client:
             raise FetchError("robots_bloqueado", "robots")
 
     def _policy(self, origin: str) -> RobotFileParser | None:
-        """The origin's policy; None if it has none (404)."""
-        at = f"{origin}/robots.txt"
-        for _ in range(self.limits.policy_redirects + 1):
+        """The origin's policy; None if it has none (404). A policy found behind redirects holds for its own origin, too."""
+        at, seen = f"{origin}/robots.txt", set()
+        while at not in seen and len(seen) < self.limits.policy_redirects:
+            seen.add(at)
             status, headers, body = self._transfer(at, self.limits.policy_bytes, "robots")
-            if status in REDIRECTS and (at := resolved(at, headers.get("location", ""))):
+            if status in REDIRECTS and headers.get("location"):
+                at = resolved(at, headers["location"])
+                if at is None:
+                    break
                 continue
-            if status == 404:
-                return None
             text = body.decode("utf-8", "replace")
-            if status != 200 or "<html" in text.lower() or "<!doctype html" in text.lower():
-                raise FetchError("robots_indisponivel", "robots", status=status)
-            parser = RobotFileParser()
-            parser.parse(text.splitlines())
-            if delay := parser.crawl_delay(self.agent):
-                self.delays[urlsplit(origin).netloc] = float(delay)
-            return parser
+            self.bodies[origin] = (at, status, text)
+            p = urlsplit(at)
+            policy = self.adopt(origin, status, text)
+            if p.path == "/robots.txt":
+                self.policies.setdefault(f"{p.scheme}://{p.netloc}", policy)
+                self.delays.setdefault(p.netloc, self.delays.get(urlsplit(origin).netloc, 0.0))
+            return policy
         raise FetchError("robots_indisponivel", "robots")
 
+    def adopt(self, origin: str, status: int, text: str) -> RobotFileParser | None:
+        """What a policy's answer means for an origin, and the pause that it asks for."""
+        if status == 404:
+            return None
+        if status != 200 or "<html" in text.lower() or "<!doctype html" in text.lower():
+            raise FetchError("robots_indisponivel", "robots", status=status)
+        parser = RobotFileParser()
+        parser.parse(text.splitlines())
+        rate = parser.request_rate(self.agent)
+        each = rate.seconds / rate.requests if rate and rate.requests else 0.0
+        self.delays[urlsplit(origin).netloc] = max(float(parser.crawl_delay(self.agent) or 0), each)
+        return parser
+
 
 def utc_now() -> datetime:
     return datetime.now(UTC)

@@ -1,8 +1,9 @@
 """Python data sources: pages of the search API and fetched resources.
 
 Reading has effects on servers, so a read is to be staged at once and run without task retries and
-speculation. The API source has one partition per request, so a partition's pages can be retried
-alone; the fetch source has one per host, so that a host's pacing is one task's business.
+speculation. The API source has one partition, as its requests keep their distance and share one
+policy; ``last`` and ``policy`` carry both on to the next read. The fetch source has one per host, so
+that a host's pacing is one task's business; the hosts share the read's bytes in equal parts.
 """
 
 from __future__ import annotations
@@ -34,7 +35,11 @@ class _Requests(InputPartition):
 
 
 class SearchApi(DataSource):
-    """Options: config (JSON), requests (JSON list of {filters, page, limit, facets}), agent, transport, interval_s."""
+    """Options: config (JSON), requests (JSON list of {filters, page, limit, facets}), agent, transport, interval_s,
+    last (epoch seconds of the request before), policy (JSON of status and text of the origin's robots.txt).
+
+    A policy that was asked for is a row of its own, with page 0. Requests after a 429 are not made.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -51,13 +56,18 @@ class SearchReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.config, self.requests = json.loads(options["config"]), json.loads(options["requests"])
         self.agent, self.transport = options.get("agent", "gleaner"), options.get("transport", _URLLIB)
-        self.interval_s = float(options.get("interval_s", 10))
+        self.interval_s, self.last, self.policy = float(options.get("interval_s", 10)), float(options.get("last", 0)), json.loads(options.get("policy", "null"))
 
     def partitions(self) -> list[InputPartition]:
-        return [_Requests((r,)) for r in self.requests]
+        return [_Requests(tuple(self.requests))] if self.requests else []
 
     def read(self, partition: _Requests | None) -> Iterator[tuple]:
-        client = Client(self.agent, load(self.transport), Limits(file_bytes=20 << 20, tries=4, interval_s=self.interval_s))
+        limits = Limits(file_bytes=20 << 20, tries=4, interval_s=self.interval_s, retry_base_s=15.0, retry_429=False)
+        client, p = Client(self.agent, load(self.transport), limits), urlsplit(self.config["endpoint"])
+        client.last[p.netloc] = self.last
+        if self.policy:
+            origin = f"{p.scheme}://{p.netloc}"
+            client.policies[origin] = client.adopt(origin, *self.policy)
         for r in partition.rows if partition else ():  # none if there are no requests
             filters, page = r.get("filters", []), r.get("page", 1)
             url = request_url(self.config, page, r.get("limit"), filters, r.get("facets", []))
@@ -67,9 +77,14 @@ class SearchReader(DataSourceReader):
                 status, headers, raw = client._transfer(url, client.limits.file_bytes, "resource")
                 body, wait = raw.decode("utf-8", "replace"), headers.get("retry-after")
             except FetchError as failure:
-                status, error = failure.status, failure.code
+                status, error, wait = failure.status, failure.code, failure.wait
+            for _, (at, answered, text) in client.bodies.items():
+                yield None, 0, at, answered, None, text, None, None, utc_now()
+            client.bodies.clear()
             sha = None if body is None else hashlib.sha256(body.encode()).hexdigest()
             yield partition_id(filters), page, url, status, sha, body, error, wait, utc_now()
+            if status == 429:
+                return
 
 
 class Fetch(DataSource):
@@ -82,7 +97,7 @@ class Fetch(DataSource):
     def schema(self) -> str:
         return (
             "record_id STRING, url STRING, depth INT, at TIMESTAMP, final_url STRING, content_type STRING, charset STRING, sha256 STRING,"
-            " bytes BIGINT, content BINARY, error STRING, stage STRING, http_status INT"
+            " bytes BIGINT, content BINARY, error STRING, stage STRING, http_status INT, transferred BIGINT"
         )
 
     def reader(self, schema) -> FetchReader:
@@ -93,7 +108,9 @@ class FetchReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.urls = json.loads(options["urls"])
         self.agent, self.transport = options.get("agent", "gleaner"), options.get("transport", _URLLIB)
-        self.limits = json.loads(options.get("limits", "{}"))
+        self.limits = Limits(**json.loads(options.get("limits", "{}")))
+        hosts = {urlsplit(row[1]).netloc for row in self.urls}
+        self.limits.budget_bytes //= max(1, len(hosts))
 
     def partitions(self) -> list[InputPartition]:
         hosts = defaultdict(list)
@@ -102,9 +119,10 @@ class FetchReader(DataSourceReader):
         return [_Requests(tuple(rows)) for _, rows in sorted(hosts.items())]
 
     def read(self, partition: _Requests | None) -> Iterator[tuple]:
-        client = Client(self.agent, load(self.transport), Limits(**self.limits))
+        client = Client(self.agent, load(self.transport), self.limits)
         got: dict[str, tuple] = {}
         for record_id, url, depth in partition.rows if partition else ():
+            before = client.transferred
             if url not in got:
                 at = utc_now()
                 try:
@@ -112,7 +130,7 @@ class FetchReader(DataSourceReader):
                     got[url] = (at, r["url"], r["content_type"], r["charset"], r["sha256"], r["bytes"], r["content"], None, None, 200)
                 except FetchError as failure:
                     got[url] = (at, None, None, None, None, None, None, failure.code, failure.stage, failure.status)
-            yield (record_id, url, depth, *got[url])
+            yield (record_id, url, depth, *got[url], client.transferred - before)
 
 
 def register(spark: SparkSession) -> None:
