@@ -191,9 +191,9 @@ def _joined(parts: list[str]) -> list[str]:
 
 
 @cache
-def _encoder(path: str, end_id: int) -> Encoder:
+def _encoder(path: str, end_id: int, most_pieces: int) -> Encoder:
     """One encoder for all tasks of a worker, so that frequent pieces are encoded once a worker."""
-    return Encoder(path, end_id)
+    return Encoder(path, end_id, most_pieces)
 
 
 def _chunks(column: pa.Array, most_docs: int = 256, most_chars: int = 4_000_000) -> Iterator[list[str]]:
@@ -231,8 +231,11 @@ def trained_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, id_col
         return b""
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, level: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the documents below ``path``; the manifest: (part, file, n_docs, n_tokens), a row per file."""
+def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, level: int = 3, most_pieces: int = 400_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Write the documents below ``path``; the manifest: (part, file, n_docs, n_tokens), a row per file.
+
+    ``most_pieces`` trades a worker's memory (some 400 bytes each) for time.
+    """
     dictionary = trained_dictionary(docs, tokenizer_path, end_id, id_col, text_col)
     name = hashlib.sha256(dictionary).digest() if dictionary else bytes(32)
     fs, at = _open(path)
@@ -245,7 +248,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, leve
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # nothing here makes reference cycles, and looking for them takes a fifth of the time
-        encoder = _encoder(tokenizer_path, end_id)
+        encoder = _encoder(tokenizer_path, end_id, most_pieces)
         packer = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         fs, at = _open(path)
         part, ids, triples, out, place, tokens = TaskContext.get().partitionId(), [], array("q"), None, len(_MAGIC) + 32, 0
