@@ -56,7 +56,7 @@ _PROBES = ("a b", "The\nend", "it's, (well) done.\nNow 12 \u00e9t\u00e9s!", "x
 class Encoder:
     """Encodes whole texts piece by piece, with a bounded memory of pieces seen."""
 
-    def __init__(self, path: str, end_id: int, most_pieces: int = 400_000, special_as_text: bool = False) -> None:
+    def __init__(self, path: str, end_id: int, most_pieces: int = 700_000, special_as_text: bool = False) -> None:
         """Keeps the ids of ``most_pieces`` pieces that came again and of about as many others. ``special_as_text`` makes the strings of special tokens ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -231,7 +231,7 @@ def trained_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, id_col
         return b""
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, level: int = 3, most_pieces: int = 400_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, level: int = 3, most_pieces: int = 700_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the documents below ``path``; the manifest: (part, file, n_docs, n_tokens), a row per file.
 
     ``most_pieces`` trades a worker's memory (some 400 bytes each) for time.
