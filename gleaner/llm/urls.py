@@ -146,14 +146,15 @@ def filtered(urls: DataFrame, rules: list[Rule], labels: DataFrame | None = None
     """``urls`` with host, path, rule, verdict and score (the trees' block probability).
 
     ``labels`` has ``url`` and ``blocked`` (0 or 1); without it the URLs that a rule fits are the
-    labelled ones. Columns of those names in ``urls`` are replaced.
+    labelled ones. Columns of those five names in ``urls`` are replaced; others may have any name.
     """
-    host, path = host_path(F.col(url_col))
-    rows = urls.drop(*(c for c in ("host", "path") if c != url_col)).withColumns({"host": host, "path": path})
+    own = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict", "score")]
+    host, path = host_path(F.col("url"))
+    rows = urls.select(F.struct(*own).alias("doc"), F.col(url_col).alias("url")).withColumns({"host": host, "path": path})
     rule, verdict = fitting(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "verdict": verdict})
     if labels is None:
-        known = rows.where("rule IS NOT NULL").select(F.col(url_col).alias("url"), (F.col("verdict") == "block").cast("int").alias("blocked"))
+        known = rows.where("rule IS NOT NULL").select("url", (F.col("verdict") == "block").cast("int").alias("blocked"))
     else:
         known = labels.select("url", "blocked")
     known = known.withColumns(dict(zip(("host", "path"), host_path(F.col("url")))))
@@ -161,8 +162,8 @@ def filtered(urls: DataFrame, rules: list[Rule], labels: DataFrame | None = None
     train = _with_rates(known, known).orderBy(F.xxhash64("url"), "url", "blocked").limit(sample_rows)
     train = train.select(*FEATURES, "blocked").toPandas()  # at most sample_rows rows
     trees = Trees().fit(train[list(FEATURES)].to_numpy(float), train["blocked"].to_numpy(float))
-    wide = _with_rates(_lexical(rows, url_col), known)
+    wide = _with_rates(_lexical(rows, "url"), known)
     score = F.round(1 / (1 + F.exp(-trees.score(FEATURES))), 6)
     wide = wide.withColumn("score", score)
     wide = wide.withColumn("verdict", F.coalesce("verdict", F.when(F.col("score") > most, "block").otherwise("allow")))
-    return wide.select(*(c for c in rows.columns if c != "score"), "score")
+    return wide.select(*(F.col("doc")[c].alias(c) for c in own), "host", "path", "rule", "verdict", "score")

@@ -66,12 +66,13 @@ def _field(head: Column, name: str) -> Column:
     return F.when(found != "", found)
 
 
-def _named(value: Column) -> Column:
-    """The id in a record name, as a number where it is one."""
-    return F.regexp_extract(value, rf"^<{_NAME}(.*)>$", 1).try_cast("long")
+def _named(value: Column, kind: str) -> Column:
+    """The id in a record name as ``kind``; an empty one is null."""
+    name = F.regexp_extract(value, rf"^<{_NAME}(.*)>$", 1)
+    return F.when(name != "", name).try_cast(kind)
 
 
-def _parsed(value: str) -> dict[str, Column]:
+def _parsed(value: str, id_type: str = "string") -> dict[str, Column]:
     """What the text after a magic says as a record; ``total`` is its claimed length with the magic."""
     parts = F.split(F.col(value), _BREAK, 3)
     head, http, rest = parts[0], F.coalesce(F.get(parts, F.lit(1)), F.lit("")), F.coalesce(F.get(parts, F.lit(2)), F.lit(""))
@@ -80,8 +81,8 @@ def _parsed(value: str) -> dict[str, Column]:
     return {
         "total": F.when(F.size(parts) > 1, len(MAGIC) + F.octet_length(head) + len(_BREAK) + length + len(_BREAK)),
         "type": _field(head, "WARC-Type"),
-        "id": _named(_field(head, "WARC-Record-ID")),
-        "refers_to": _named(_field(head, "WARC-Refers-To")),
+        "id": _named(_field(head, "WARC-Record-ID"), id_type),
+        "refers_to": _named(_field(head, "WARC-Refers-To"), id_type),
         "uri": _field(head, "WARC-Target-URI"),
         "named_digest": F.regexp_replace(_field(head, "WARC-Payload-Digest"), "^sha256:", ""),
         "http_bytes": _field(http, "Content-Length").try_cast("long"),
@@ -93,14 +94,14 @@ def _parsed(value: str) -> dict[str, Column]:
 _FIELDS = ("type", "id", "refers_to", "uri", "named_digest", "http_bytes", "body_bytes", "body_digest")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(file, start, type, id, refers_to, uri, payload_bytes, payload_digest) of every true record.
+def read(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
+    """(file, start, type, id, refers_to, uri, payload_bytes, payload_digest) of every true record; ids are of ``id_type``.
 
     Size and digest are those of the payload read; a revisit's are those that it names.
     """
     raw = spark.read.schema("value string").option("lineSep", MAGIC).text(path)
     raw = raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("ix"))
-    slim = raw.withColumns(_parsed("value")).withColumn("size", F.octet_length("value").cast("long") + len(MAGIC)).drop("value")
+    slim = raw.withColumns(_parsed("value", id_type)).withColumn("size", F.octet_length("value").cast("long") + len(MAGIC)).drop("value")
     slim = running_total(staged(slim, "pieces"), ["file"], "split", ["ix"], "size", "end")
     slim = slim.withColumn("start", F.col("end") - len(MAGIC)).withColumn("next", F.col("start") + F.col("total")).drop("end")
     slim = staged(_chained(slim.where("start >= 0")), "candidates")
@@ -109,7 +110,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     out = true.where("total = size").select("file", "start", *_FIELDS)
     torn = staged(true.where("total > size").select("file", "start", "next"), "torn")
     if torn.limit(1).count():
-        out = out.unionByName(_joined(raw, slim, true, torn).select("file", "start", *_FIELDS))
+        out = out.unionByName(_joined(raw, slim, true, torn, id_type).select("file", "start", *_FIELDS))
     revisit = F.col("type") == "revisit"
     return out.select(
         "file", "start", "type", "id", "refers_to", "uri",
@@ -139,7 +140,7 @@ def _reached(rows: DataFrame) -> DataFrame:
     return found
 
 
-def _joined(raw: DataFrame, rows: DataFrame, true: DataFrame, torn: DataFrame) -> DataFrame:
+def _joined(raw: DataFrame, rows: DataFrame, true: DataFrame, torn: DataFrame, id_type: str) -> DataFrame:
     """Records whose payload holds the magic, put together from their pieces in a second reading."""
     marks = rows.join(true.select("file", "start", F.lit(True).alias("is_true")), ["file", "start"], "left")
     marks = marks.withColumn("own", F.when(F.col("is_true"), F.col("start")))
@@ -154,4 +155,4 @@ def _joined(raw: DataFrame, rows: DataFrame, true: DataFrame, torn: DataFrame) -
     texts = raw.join(staged(owned, "owned"), ["file", "split", "ix"])
     whole = texts.groupBy("file", "owner").agg(F.array_sort(F.collect_list(F.struct("start", "value"))).alias("parts"))
     whole = whole.select("file", F.col("owner").alias("start"), F.array_join(F.col("parts.value"), MAGIC).alias("value"))
-    return whole.withColumns(_parsed("value")).where(F.col("total") == F.octet_length("value") + len(MAGIC))
+    return whole.withColumns(_parsed("value", id_type)).where(F.col("total") == F.octet_length("value") + len(MAGIC))

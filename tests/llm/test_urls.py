@@ -51,3 +51,11 @@ def test_held_out_accuracy(spark):
     right = np.mean([(r.verdict == "block") == bool(r.blocked) for r in out])
     assert len(out) == 1000 and right > 0.93
     assert sorted(map(str, out)) == sorted(map(str, urls.filtered(df.where("id >= 1000").repartition(3), [], df.where("id < 1000").repartition(2)).collect()))
+
+
+def test_columns_with_the_names_of_features(spark):
+    rows = [(1, "http://a.example.com/en/1", 5, 6, 7, "s"), (2, None, 5, 6, 7, "s")]
+    df = spark.createDataFrame(rows, "page_id int, url string, depth int, rate_1 int, labels int, suffix_1 string")
+    out = urls.filtered(df, [urls.Rule("block", "com/en/")])
+    assert out.columns == [*df.columns, "host", "path", "rule", "verdict", "score"]
+    assert sorted(tuple(r)[:6] for r in out.collect()) == rows

@@ -37,3 +37,13 @@ def test_empty(spark):
     path = new_path(spark, "warc")
     warc.write(spark.createDataFrame([], "page_id long, url string, html string"), path, "page_id", "url", "html")
     assert warc.read(spark, path).count() == 0
+
+
+def test_ids_that_are_strings(spark):
+    from gleaner.llm.workspace import new_path
+
+    rows = [("a>b", "http://x", "p" * 200), ("é", None, "p" * 200), (None, "http://y", None), ("7", "http://z", "x WARC/1.1\r\n y")]
+    path = new_path(spark, "warc")
+    warc.write(spark.createDataFrame(rows, "page string, url string, html string"), path, "page", "url", "html")
+    got = {r.id: (r.type, r.refers_to, r.payload_bytes) for r in warc.read(spark, path, "string").collect()}
+    assert got == {"a>b": ("response", None, 200), "é": ("revisit", "a>b", 200), None: ("response", None, 0), "7": ("response", None, 14)}
