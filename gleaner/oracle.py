@@ -55,6 +55,12 @@ _US = "epoch_us({})"
 
 
 SQL = {
+    "retry_after_parse": """WITH r(id, raw) AS (VALUES (1, '120'), (2, ''), (3, NULL), (4, 'Wed, 21 Oct 2026 07:28:00 GMT'), (5, 'soon'), (6, '-5'), (7, ' 1.5 '), (8, 'Wed, 21 Oct 2015 07:28:00 GMT')),
+p AS (SELECT id, trim(coalesce(raw, '')) AS t, try_cast(trim(coalesce(raw, '')) AS DOUBLE) AS n, try_strptime(trim(coalesce(raw, '')), '%a, %d %b %Y %H:%M:%S GMT') AS d FROM r)
+SELECT CAST(id AS INTEGER) AS id,
+  greatest(CAST(CASE WHEN t = '' THEN 3600 WHEN n IS NOT NULL THEN n WHEN d IS NOT NULL THEN (epoch_us(d) - epoch_us(TIMESTAMP '2026-10-21 07:00:00')) / 1e6 ELSE 3600 END AS DOUBLE), 0) AS seconds,
+  CASE WHEN t = '' THEN 'client_policy_no_retry_after' WHEN n IS NULL AND d IS NULL THEN 'client_policy_invalid_retry_after' ELSE 'server_retry_after' END AS source
+FROM p""",
     "facet_years": f"WITH {_CORPUS} SELECT year AS value, count(*) AS count FROM corpus WHERE year IS NOT NULL GROUP BY year",
     "facet_institutions": f"WITH {_FACETS} SELECT * FROM all_inst",
     "smallest_facet": f"WITH {_FACETS} SELECT value, count FROM all_inst ORDER BY count, value LIMIT 1",
