@@ -19,15 +19,13 @@ from pyspark.sql import functions as F
 from gleaner.llm.workspace import staged
 
 _LOCAL = (1 << 33) - 1  # monotonically_increasing_id: partition above, row within it below 2^33
-_WALK = 64
 
 
 def permuted(x: Column, n: int, seed: int = 7, rounds: int = 6) -> Column:
     """The place of row number ``x`` in a fixed pseudo-random order of [0, n).
 
     At most ab - n < a numbers lie outside [0, n), and a cycle meets each once, so that many steps
-    suffice; for large n, where a step leaves [0, n) with probability below 1/64, 64 steps are
-    taken and a walk that is longer still (chance below 64^-64) is an error, never a wrong place.
+    suffice. Only a number that the first turn leaves outside, one in b or so, is walked at all.
     """
     a = isqrt(max(n, 1) - 1) + 1
     b = -(-max(n, 1) // a)
@@ -44,9 +42,11 @@ def permuted(x: Column, n: int, seed: int = 7, rounds: int = 6) -> Column:
         start = F.struct(((y - right) / b).cast("long").alias("l"), right.cast("long").alias("r"))
         return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), start, turn, lambda s: s["l"] * F.lit(b).cast("long") + s["r"])
 
-    steps = F.sequence(F.lit(1), F.lit(max(1, min(a * b - n, _WALK))))
-    found = F.aggregate(steps, once(x), lambda y, _: F.when(y >= n, once(y)).otherwise(y))
-    return F.when(found < n, found).otherwise(F.raise_error(F.lit("cycle walk too long")).cast("long"))
+    def walk(y: Column, _: Column) -> Column:
+        steps = F.sequence(F.lit(1), F.when(y >= n, F.lit(max(1, a * b - n))).otherwise(F.lit(1)))
+        return F.aggregate(steps, y, lambda z, _: F.when(z >= n, once(z)).otherwise(z))
+
+    return F.aggregate(F.array(F.lit(0)), once(x), walk)
 
 
 def numbered(df: DataFrame, order: list[str], out: str = "row_number") -> tuple[DataFrame, int]:

@@ -1,5 +1,8 @@
+import struct
 import zlib
+from math import isqrt
 
+import xxhash
 from pyspark.sql import functions as F
 
 from gleaner.llm import sharding
@@ -31,3 +34,43 @@ def test_small_and_empty(spark):
     for n in (2, 3, 7, 64, 1000):
         got = [r.p for r in spark.range(n).select(sharding.permuted(F.col("id"), n).alias("p")).collect()]
         assert sorted(got) == list(range(n))
+
+
+def brute_place(x, n, seed=7, rounds=6):
+    """The permutation in plain Python, with a walk of any length."""
+
+    def mixed(value, i):
+        h = 42
+        for raw in (struct.pack("<q", value), struct.pack("<i", i), struct.pack("<i", seed)):
+            h = xxhash.xxh64_intdigest(raw, h)
+        return h - (1 << 64) if h >> 63 else h
+
+    a = isqrt(n - 1) + 1
+    b = -(-n // a)
+    while True:
+        left, right = divmod(x, b)
+        for i in range(rounds):
+            if i % 2 == 0:
+                left = (left + int(mixed(right, i)) % a) % a
+            else:
+                right = (right + int(mixed(left, i)) % b) % b
+        x = left * b + right
+        if x < n:
+            return x
+
+
+def test_places_match_an_independent_permutation(spark):
+    for n in (1, 2, 3, 5, 17, 90, 401, 1000, 10_007):
+        got = {r.id: r.p for r in spark.range(n).select("id", sharding.permuted(F.col("id"), n).alias("p")).collect()}
+        assert got == {x: brute_place(x, n) for x in range(n)}
+    n = 10**12 + 39
+    ids = [0, 1, n // 3, n - 1]
+    got = [r.p for r in spark.createDataFrame([(i,) for i in ids], "id long").select(sharding.permuted(F.col("id"), n).alias("p")).collect()]
+    assert got == [brute_place(x, n) for x in ids]
+
+
+def test_shard_and_slot_follow_from_the_row_number(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 7}") for i in range(300)], "doc_id long, text string")
+    for r in sharding.sharded(docs, 24).collect():
+        place = brute_place(r.row_number, 300)
+        assert r.row_number == r.doc_id and (r.position, r.shard, r.slot) == (place, place % 24, place // 24)
