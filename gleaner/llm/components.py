@@ -8,9 +8,21 @@ from pyspark.sql import functions as F
 from gleaner.llm.workspace import remove, staged
 
 
-def _min_neighbours(edges: DataFrame) -> DataFrame:
-    """(u, m): the least of each node's neighbours; partial sums make this safe for hubs."""
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+MOST_HUBS = 100_000
+
+
+def _beside_least(edges: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """``edges`` (u, v) with m, the least v of their u; and (u, m) alone. There are at most ``n`` edges.
+
+    All edges of a hub would meet in one task of a join on u. At most ``MOST_HUBS`` nodes can have
+    more than n / MOST_HUBS edges, so the minima of these are broadcast and their edges stay where
+    they are; no other node has more edges than that, or a hundred.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n"))
+    is_hub = F.col("_n") > max(100, n // MOST_HUBS)
+    marked = edges.join(F.broadcast(least.where(is_hub).select("u", F.col("m").alias("_m"))), "u", "left")
+    others = marked.where("_m IS NULL").drop("_m").join(least.where(~is_hub).select("u", "m"), "u")
+    return marked.where("_m IS NOT NULL").withColumnRenamed("_m", "m").unionByName(others), least.select("u", "m")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,13 +36,15 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_min_neighbours(both), "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        large = large.where("u <> v")
-        least = _min_neighbours(large)
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _beside_least(both, 2 * mark[0])[0].where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        large = staged(large.where("u <> v"), "large")
+        small, least = _beside_least(large, 2 * mark[0])
+        small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = staged(_ordered(small.unionByName(least.select("u", F.col("m").alias("v")))), "edges")
         before, mark = mark, _mark(new)
-        remove(now.sparkSession, now.inputFiles()[0].rsplit("/", 1)[0])
+        for passed in (now, large):
+            for folder in {f.rsplit("/", 1)[0] for f in passed.inputFiles()[:1]}:  # no files if it is empty
+                remove(now.sparkSession, folder)
         now = new
         if mark == before:
             break
