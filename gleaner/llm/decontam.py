@@ -10,8 +10,10 @@ the shingles, weighted by their counts.
 A window that shares no shingle with an item has similarity 0, so fingerprints are made only where a
 shingle of the item starts; this drops no match.
 
-Items are taken in blocks of at most ``block_items``, each sent to the tasks in full, and every
-document meets every block; no document moves. Items and documents without words, and nulls, match
+Items are taken in blocks of at most ``block_items`` items and ``block_chars`` characters (one longer
+item is a block of its own), each sent to the tasks in full, and every document meets every block; no
+document moves. The driver holds one block at a time: where there are several, each one's matches are
+written before the next is read. Items and documents without words, and nulls, match
 nothing; repeated items and documents are reported one by one. Empty tables give an empty result.
 """
 
@@ -19,9 +21,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
-from itertools import combinations, islice
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -134,8 +136,22 @@ class Index:
                     best[t] = found
 
 
+def blocks_of(items: Iterable[tuple], most_items: int, most_chars: int) -> Iterator[list[tuple]]:
+    """Runs of items within both bounds, in their order; an item over the second is a run of its own."""
+    block, chars = [], 0
+    for item in items:
+        size = len(item[1] or "")
+        if block and (len(block) == most_items or chars + size > most_chars):
+            yield block
+            block, chars = [], 0
+        block.append(item)
+        chars += size
+    if block:
+        yield block
+
+
 def matches(
-    docs: DataFrame, items: DataFrame, least: float = 0.8, radius: int = 20, shingle: int = 5, block_items: int = 20_000,
+    docs: DataFrame, items: DataFrame, least: float = 0.8, radius: int = 20, shingle: int = 5, block_items: int = 20_000, block_chars: int = 20_000_000,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """(id, item, similarity, start, n_words, distance): the best window of each item in each document; n_words are the item's."""
@@ -163,10 +179,12 @@ def matches(
 
     names = schema.fieldNames()
     types = [to_arrow_type(f.dataType) for f in schema.fields[1:]]
-    stream = ((r[0], r[1]) for r in items.select(item_col, item_text_col).toLocalIterator())
+    stream = blocks_of(((r[0], r[1]) for r in items.select(item_col, item_text_col).toLocalIterator()), block_items, block_chars)
+    block = next(stream, None)
     parts = []
-    while block := list(islice(stream, block_items)):
-        parts.append(one(block))
+    while block is not None:
+        part, block = one(block), next(stream, None)
+        parts.append(part if block is None and not parts else staged(part, "matches"))
     if not parts:
         parts = [docs.sparkSession.createDataFrame([], schema)]
     return reduce(DataFrame.unionByName, parts).withColumnsRenamed({"id": id_col, "item": item_col if item_col != id_col else "item_id"})

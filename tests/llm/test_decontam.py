@@ -80,3 +80,39 @@ def test_documents_shorter_than_the_item():
     assert index.search(" ".join(words[:-1]), 0.8)[0][:2] == (33 / 34, 0)
     assert index.search(" ".join(words[3:-3]), 0.8)[0][:2] == (28 / 34, 0)
     assert not index.search(" ".join(words[4:-3]), 0.8) and not index.search(" ".join(words[:4]), 0.8)
+
+
+def test_blocks_hold_every_item_within_both_bounds():
+    items = [(0, "a" * 30), (1, None), (2, "b" * 200), (3, ""), (4, "c" * 60), (5, "d" * 41)]
+    blocks = list(decontam.blocks_of(iter(items), 3, 100))
+    assert blocks == [items[:2], items[2:3], items[3:5], items[5:]]
+    assert list(decontam.blocks_of(iter(items), 2, 10_000)) == [items[:2], items[2:4], items[4:]]
+    assert not list(decontam.blocks_of(iter([]), 2, 10))
+
+
+def test_recall_of_windows_near_the_threshold():
+    """Edited items with a similarity of 0.8 to 0.85: the Hamming step may lose one in a thousand or so."""
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(400)]
+    near = found = 0
+    while near < 1500:
+        item = [rng.choice(vocab) for _ in range(rng.choice([40, 80, 160]))]
+        edited = list(item)
+        for _ in range(len(item) // 40):
+            edited[rng.randrange(len(item))] = "edit"
+        index = decontam.Index([(0, " ".join(item))], 20, 5)
+        exact = decontam.Index([(0, " ".join(item))], 64, 5)
+        best = exact.search(" ".join(edited), 0.5).get(0)
+        if best and 0.8 <= best[0] < 0.85:
+            near += 1
+            found += 0 in index.search(" ".join(edited), 0.8)
+    assert found >= 0.995 * near
+
+
+def test_a_long_text_is_searched_whole():
+    rng = random.Random(3)
+    item = [f"w{rng.randrange(60)}" for _ in range(30)]
+    noise = [f"w{rng.randrange(60)}" for _ in range(60_000)]
+    index = decontam.Index([(0, " ".join(item))], 20, 5)
+    assert index.search(" ".join(noise + item), 0.8)[0][:2] == (1.0, 60_000)
+    assert 0 in index.search(" ".join(item * 2_000), 0.8)
