@@ -3,7 +3,8 @@
 The trees see lexical features only: lengths, depth, digit ratio, character entropy, parameter count
 and the block rates of the host's suffixes among labelled URLs. They are fitted on the driver to at
 most ``sample_rows`` labelled URLs, those of the smallest hash; the suffix statistics cover all
-labelled URLs. The fitted trees become one SQL expression, so every URL is scored without Python.
+labelled URLs. A URL that the trees are fitted to takes its rates from the four of five folds that it
+is not in, so that its own label does not leak into them. The fitted trees become one SQL expression, so every URL is scored without Python.
 
 A null URL, or one without ``://``, has an empty host and path, fits no rule and is scored like any
 other. With no labelled URLs, or labels of one kind, the score is the labels' rate (0 if none).
@@ -71,14 +72,26 @@ def _lexical(df: DataFrame, url_col: str) -> DataFrame:
     })
 
 
-def _with_rates(df: DataFrame, labelled: DataFrame, strength: float = 10.0) -> DataFrame:
-    """Add rate_1 and rate_2: the shrunken block rates of the last one and two host labels."""
-    overall = F.coalesce(F.avg("blocked"), F.lit(0.0))
-    mean = labelled.agg(overall.alias("m")).first()["m"]
+FOLDS = 5
+
+
+def _with_rates(df: DataFrame, labelled: DataFrame, out_of_fold: bool = False, strength: float = 10.0) -> DataFrame:
+    """Add rate_1 and rate_2: the shrunken block rates of the last one and two host labels.
+
+    With ``out_of_fold`` the rows of ``df`` have a fold, and what ``labelled`` holds of it is left out.
+    """
+    mean = labelled.agg(F.coalesce(F.avg("blocked"), F.lit(0.0)).alias("m")).first()["m"]
     for k in ("1", "2"):
-        rate = (F.sum("blocked") + F.lit(strength * mean)) / (F.count("*") + F.lit(strength))
-        rates = staged(labelled.groupBy(f"suffix_{k}").agg(rate.alias(f"rate_{k}")), "rates")
-        df = joined_small(df, rates, f"suffix_{k}", "left").withColumn(f"rate_{k}", F.coalesce(f"rate_{k}", F.lit(mean)))
+        suffix = f"suffix_{k}"
+        sums = labelled.groupBy(suffix, "fold").agg(F.sum("blocked").alias("_b"), F.count("*").alias("_n"))
+        whole = sums.groupBy(suffix).agg(F.sum("_b").alias("_b"), F.sum("_n").alias("_n"))
+        if out_of_fold:
+            own = sums.select(suffix, "fold", F.col("_b").alias("_own_b"), F.col("_n").alias("_own_n"))
+            whole = whole.join(own, suffix).select(suffix, "fold", (F.col("_b") - F.col("_own_b")).alias("_b"), (F.col("_n") - F.col("_own_n")).alias("_n"))
+        rate = (F.col("_b") + F.lit(strength * mean)) / (F.col("_n") + F.lit(strength))
+        on = [suffix, "fold"] if out_of_fold else [suffix]
+        rates = staged(whole.select(*on, rate.alias(f"rate_{k}")), "rates")
+        df = joined_small(df, rates, on, "left").withColumn(f"rate_{k}", F.coalesce(f"rate_{k}", F.lit(mean)))
     return df
 
 
@@ -158,8 +171,9 @@ def filtered(urls: DataFrame, rules: list[Rule], labels: DataFrame | None = None
     else:
         known = labels.select("url", "blocked")
     known = known.withColumns(dict(zip(("host", "path"), host_path(F.col("url")))))
-    known = staged(_lexical(known, "url"), "labelled")
-    train = _with_rates(known, known).orderBy(F.xxhash64("url"), "url", "blocked").limit(sample_rows)
+    known = _lexical(known, "url").withColumn("fold", F.pmod(F.xxhash64("url", F.lit("fold")), F.lit(FOLDS)))
+    known = staged(known, "labelled")
+    train = _with_rates(known, known, out_of_fold=True).orderBy(F.xxhash64("url"), "url", "blocked").limit(sample_rows)
     train = train.select(*FEATURES, "blocked").toPandas()  # at most sample_rows rows
     trees = Trees().fit(train[list(FEATURES)].to_numpy(float), train["blocked"].to_numpy(float))
     wide = _with_rates(_lexical(rows, "url"), known)

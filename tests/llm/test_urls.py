@@ -1,6 +1,8 @@
+import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from gleaner.llm import urls
 from gleaner.llm.queries import URL_RULES
@@ -59,3 +61,37 @@ def test_columns_with_the_names_of_features(spark):
     out = urls.filtered(df, [urls.Rule("block", "com/en/")])
     assert out.columns == [*df.columns, "host", "path", "rule", "verdict", "score"]
     assert sorted(tuple(r)[:6] for r in out.collect()) == rows
+
+
+def test_rates_leave_out_the_fold_of_the_row(spark):
+    rng = random.Random(2)
+    rows = [(f"http://h{i}.{rng.choice(['org', 'net', 'x.org'])}/", rng.randint(0, 1), i % urls.FOLDS) for i in range(200)]
+    df = spark.createDataFrame(rows, "url string, blocked int, fold long")
+    df = df.withColumn("host", urls.host_path(F.col("url"))[0]).withColumns({f"suffix_{k}": F.substring_index("host", ".", -k) for k in (1, 2)})
+    all_rows = [r.asDict() for r in df.collect()]
+    mean = sum(r["blocked"] for r in all_rows) / len(all_rows)
+    for apart in (True, False):
+        for r in urls._with_rates(df, df, out_of_fold=apart).collect():
+            for k in (1, 2):
+                same = [x["blocked"] for x in all_rows if x[f"suffix_{k}"] == r[f"suffix_{k}"] and not (apart and x["fold"] == r["fold"])]
+                assert math.isclose(r[f"rate_{k}"], (sum(same) + 10 * mean) / (len(same) + 10))
+
+
+def test_the_score_expression_matches_the_trees(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, len(urls.FEATURES)))
+    y = (x[:, 0] * x[:, 3] + x[:, 5] > 0.2).astype(float)
+    trees = urls.Trees().fit(x, y)
+
+    def plain(row):
+        total = trees.start
+        for node in trees.roots:
+            while not isinstance(node, float):
+                node = node[2] if row[node[0]] <= node[1] else node[3]
+            total += node
+        return total
+
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["i", *urls.FEATURES])
+    got = {r.i: r.s for r in df.select("i", trees.score(urls.FEATURES).alias("s")).collect()}
+    assert all(math.isclose(got[i], plain(r), abs_tol=1e-9) for i, r in enumerate(x))
+    assert np.mean([(got[i] > 0) == bool(y[i]) for i in range(400)]) > 0.95
