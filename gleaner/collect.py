@@ -19,6 +19,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.functions.urls import site_document
 from gleaner.operators import attempts, files, pacing, records
 from gleaner.plans import downloads, schemas
 from gleaner.plans.partitions import PAGE, WINDOW, archived_facets, smallest
@@ -35,6 +36,7 @@ TARGET, TIME, RECORDS, BUDGET, DONE = (
     "particoes_e_fila_esgotadas",
 )
 RESERVE = "reserva_de_disco"
+MANIFEST = "raw/manifest_pdf.jsonl"  # fixed value
 NO_YEAR = "-publishDate:[* TO *]"
 ANY_YEAR = "publishDate:[* TO *]"
 RETRYABLE = {429, 500, 502, 503, 504}
@@ -82,7 +84,7 @@ class Collector:
         cache = self.table("api_cache", "url STRING, sha STRING, body STRING")
         log = self.table("http_log", schemas.HTTP_LOG)
         last = log.where("source = 'network'").agg(F.max("ts")).first()[0]
-        options = self.options | ({"last": str(last.timestamp())} if last else {}) | self._policy()
+        options = self.options | ({"last": str(last.timestamp())} if last else {}) | self._policy() | {"policies": "true"}
         rows = web.search(self.spark, self.config, list(asked), cache, **options).collect()  # a page each
         fresh = [r for r in rows if r["harvest_ts"] is not None]
         events = [(r["harvest_ts"], r["url"], None if r["status"] is None else str(r["status"]), None, len((r["body"] or "").encode()), r["error"], "network", r["sha"]) for r in fresh]
@@ -224,33 +226,96 @@ class Collector:
         urls = F.filter(F.transform(F.try_variant_get("v", "$.urls", "array<variant>"), lambda u: F.coalesce(F.try_variant_get(u, "$.url", "string"), F.try_variant_get(u, "$", "string"))), lambda u: u.isNotNull())
         return rows.select("record_id", F.try_variant_get("v", "$.title", "string").alias("title"), F.coalesce(urls, F.array().cast("array<string>")).alias("urls"))
 
-    def import_metadata(self, path: str) -> dict:
-        """Import compatible records of another harvest; what is known stays."""
-        rows = scans.download_input(self.spark, path)
-        more = scans.jsonl(self.spark, path, "record_id STRING, formats ARRAY<STRING>, source_url STRING, query_id STRING")
-        rows = rows.join(more, "record_id").withColumn("basis", records.import_basis(F.col("formats"), F.col("source_url"), self.config)).persist()
-        good = rows.where("basis IS NOT NULL")
-        payload = F.to_json(F.struct("title", "urls", "formats"))
-        known = self.table("records", schemas.RECORDS).count()
-        sinks.append_new(good.select("record_id", payload.alias("payload"), F.current_timestamp().alias("discovered_at")), self._path("records"), "record_id")
-        sources = good.select("record_id", F.lit(str(path)).alias("source_path"), F.col("query_id").alias("source_query_id"), F.col("basis").alias("compatibility_basis"), F.lit(None).cast("string").alias("source_sha"), payload.alias("payload"), F.current_timestamp().alias("imported_at"))
-        sinks.append_new(sources, self._path("record_sources"), "record_id", "source_path")
-        out = {"rows": rows.count(), "compatible": good.count(), "new": self.table("records", schemas.RECORDS).count() - known}
-        rows.unpersist()
+    def import_metadata(self, *paths: str) -> dict:
+        """Import compatible records of other harvests; what is known stays. Reports the counts of each file."""
+        count = lambda: self.table("records", schemas.RECORDS).count()
+        first, sources = count(), []
+        for path in map(str, paths):
+            rows = scans.download_input(self.spark, path)
+            more = scans.jsonl(self.spark, path, "record_id STRING, formats ARRAY<STRING>, source_url STRING, query_id STRING")
+            rows = rows.join(more, "record_id").withColumn("basis", records.import_basis(F.col("formats"), F.col("source_url"), self.config)).persist()
+            good, sha, before = rows.where("basis IS NOT NULL"), scans.files_sha(self.spark, path), count()
+            payload = F.to_json(F.struct("title", "urls", "formats"))
+            sinks.append_new(good.select("record_id", payload.alias("payload"), F.current_timestamp().alias("discovered_at")), self._path("records"), "record_id")
+            held = good.select("record_id", F.lit(path).alias("source_path"), F.col("query_id").alias("source_query_id"), F.col("basis").alias("compatibility_basis"), F.lit(sha).alias("source_sha"), payload.alias("payload"), F.current_timestamp().alias("imported_at"))
+            sinks.append_new(held, self._path("record_sources"), "record_id", "source_path")
+            n = rows.agg(F.count("*").alias("rows"), F.count("basis").alias("compatible")).first()
+            rows.unpersist()
+            sources.append({"path": path, "sha256": sha, "rows": n["rows"], "compatible": n["compatible"], "rejected": n["rows"] - n["compatible"], "inserted": count() - before})
+        total = lambda key: sum(x[key] for x in sources)
+        out = {
+            "files": len(sources), "rows_read": total("rows"), "compatible_rows": total("compatible"), "rejected_rows": total("rejected"), "inserted_records": total("inserted"),
+            "duplicate_records": total("compatible") - total("inserted"), "unique_records_before": first, "unique_records_after": count(), "sources": sources,
+        }
+        sinks.atomic_text(self.folder / "reports/import_existing_metadata.json", json.dumps(out, ensure_ascii=False, indent=2))
         return out
 
     def results(self) -> DataFrame:
         return records.last_wins(self.table("results", schemas.RESULTS), "record_id", ["finished_at"])
 
-    def reuse_downloads(self, manifest: str) -> dict:
-        """Take over another folder's results for known records that have none; paths must stay below its folder."""
+    def reuse_downloads(self, *folders: str | Path) -> dict:
+        """Take over other folders' results, with their files, for known records; a result that is there stays.
+
+        A folder whose manifest was taken over before is left out. A path that leaves its folder, and a
+        file that is missing or has another hash than the manifest states, are errors, and then nothing
+        of that folder is taken over.
+        """
+        unknown = 0
+        for folder in (Path(f).resolve() for f in folders):
+            manifest = str(folder / MANIFEST)
+            sha = scans.files_sha(self.spark, manifest)
+            if sha is None:
+                raise ValueError(f"{folder} has no {MANIFEST}")
+            seen = self.table("reuse_sources", schemas.REUSE_SOURCES).where((F.col("source_dir") == str(folder)) & (F.col("manifest_sha") == sha))
+            if not seen.limit(1).count():
+                unknown += self._reuse(folder, manifest, sha)
+        taken = self.table("reused_files", schemas.REUSED_FILES).groupBy("sha").agg(F.bool_or("is_site").alias("site"), F.bool_or(~F.col("is_site")).alias("work"))
+        sums = records.last_wins(self.table("reuse_sources", schemas.REUSE_SOURCES), "source_dir", ["imported_at"])
+        sums = sums.agg(F.count("*").alias("sources"), F.coalesce(F.sum("records"), F.lit(0)).alias("records_reused"), F.coalesce(F.sum("files"), F.lit(0)).alias("file_associations"))
+        counts = taken.agg(F.count("*").alias("unique_files"), F.count_if("work").alias("candidate_files"), F.count_if("site").alias("site_document_files"))
+        return sinks.report(sums.crossJoin(counts).withColumn("skipped_unknown_records", F.lit(unknown)), self.folder / "reports/reused_downloads.json")  # one row each
+
+    def _reuse(self, folder: Path, manifest: str, sha: str) -> int:
+        """Take over one folder; how many of its rows name no known record."""
         rows = scans.jsonl(self.spark, manifest, schemas.RESULTS)
-        known = rows.join(self.records().select("record_id"), "record_id", "left_semi")
-        new = known.join(self.results().select("record_id"), "record_id", "left_anti")
-        safe = new.where(~F.exists("files", lambda f: f["path"].startswith("/") | F.contains(f["path"], F.lit(".."))))
-        out = {"rows": rows.count(), "known": known.count(), "reused": safe.count()}
-        safe.write.mode("append").parquet(self._path("results"))
-        return out
+        known = rows.join(self.records().select("record_id"), "record_id", "left_semi").persist()
+        named = known.select("record_id", F.explode("files").alias("f")).select("record_id", "f.*").withColumn("at", scans.contained("path")).persist()
+        there = scans.contents(self.spark, str(folder)).withColumn("real", F.sha2("content", 256))
+        checked = named.join(there.select(F.col("path").alias("at"), "real"), "at", "left").where("real IS DISTINCT FROM sha256")
+        if wrong := checked.select("path", "at").first():
+            raise ValueError(f"{wrong['path']} leaves its folder" if wrong["at"] is None else f"{wrong['path']} is missing or differs from its hash")
+        content = there.join(named.select("sha256").distinct(), F.col("real") == F.col("sha256"), "left_semi")
+        sinks.archive(content.select(F.col("real").alias("sha"), "content"), self._path("archive"))
+        path = lambda f: F.concat(F.lit("raw/pdf/"), F.substring(f["sha256"], 1, 2), F.lit("/"), f["sha256"], F.lit(".pdf"))
+        moved = F.transform(F.coalesce("files", F.array().cast(f"array<{schemas.FILE}>")), lambda f: F.struct(f["sha256"].alias("sha256"), path(f).alias("path"), f["bytes"].alias("bytes"), f["url"].alias("url"), F.lit("pdf").alias("kind")))
+        open_end = F.coalesce("limited", F.lit(False)) | ~F.col("status").eqNullSafe(F.lit("sucesso")) | F.coalesce(F.exists("attempts", lambda a: ~F.coalesce(a["status"], F.lit("")).isin(*attempts.COMPLETED)), F.lit(False))
+        first = F.min_by(F.struct(*known.columns), F.struct("finished_at")).alias("r")
+        fresh = known.groupBy("record_id").agg(first).select("r.*").join(self.results().select("record_id"), "record_id", "left_anti")
+        fresh = fresh.withColumn("limited", open_end).withColumn("files", moved)
+        shaped = self.spark.createDataFrame([], schemas.RESULTS).unionByName(fresh.select(*rows.columns)).persist()
+        n, links, skipped = shaped.count(), named.count(), rows.count() - known.count()
+        taken = shaped.select("record_id", F.explode("files").alias("f")).select(F.col("f.sha256").alias("sha"), "record_id", site_document(F.coalesce("f.url", F.lit(""))).alias("is_site"), F.lit(str(folder)).alias("source_dir"))
+        taken.write.mode("append").parquet(self._path("reused_files"))
+        shaped.write.mode("append").parquet(self._path("results"))
+        done = [(str(folder), sha, datetime.now(UTC), n, links)]
+        self.spark.createDataFrame(done, schemas.REUSE_SOURCES).coalesce(1).write.mode("append").parquet(self._path("reuse_sources"))
+        for df in (known, named, shaped):
+            df.unpersist()
+        return skipped
+
+    def export(self) -> None:
+        """Write records and rejections, the manifest of results and what pages said as JSON lines, each in its order."""
+        held = self.table("records", schemas.RECORDS).withColumn("line", F.col("payload"))
+        sinks.lines(held, self._path("metadata/records.jsonl"), "discovered_at", "record_id")
+        refused = self.table("rejections", schemas.REJECTIONS).withColumnRenamed("raw_sha", "raw_sha256").withColumn("payload", F.try_parse_json("payload"))
+        refused = refused.select("partition_id", "page", "position", F.to_json(F.struct("*")).alias("line"))
+        sinks.lines(refused, self._path("metadata/rejections.jsonl"), "partition_id", "page", "position")
+        results = self.results()
+        sinks.jsonl(results, self._path(MANIFEST), "record_id")
+        said = results.select("record_id", F.posexplode("metadata_from_html").alias("n", "m"))
+        opened = F.expr("rtrim('}', to_json(named_struct('record_id', record_id)))")
+        said = said.withColumn("line", F.concat(opened, F.when(F.size("m") == 0, "}").otherwise(F.concat(F.lit(","), F.substring(F.to_json("m"), 2, 1 << 30)))))
+        sinks.lines(said, self._path("staging/metadata_html.jsonl"), "record_id", "n")
 
     def download(self, as_of: datetime, retry_s: int = 86_400, most: int = 50, limits: dict | None = None) -> int:
         """Fetch what one cycle's records name and link to; returns how many records were tried."""
@@ -373,6 +438,7 @@ class Collector:
                 sleep(pacing_wait(wait_s, waits))
         if reason in (TARGET, DONE):
             packer.close_all(self.results(), metadata(), force=True)
+        self.export()
         return self.report(reason)
 
 
@@ -411,10 +477,10 @@ def main(argv: list[str] | None = None) -> int:
     a = arguments(argv)
     spark = SparkSession.builder.appName("gleaner.collect").config("spark.task.maxFailures", "1").config("spark.speculation", "false").getOrCreate()
     collector = Collector(spark, json.loads(a.config.read_text(encoding="utf-8")), a.data_dir, agent=f"gleaner (contact: {a.contact})")
-    for path in a.import_metadata:
-        collector.import_metadata(path)
-    for path in a.reuse_pdf_dir:
-        collector.reuse_downloads(f"{path}/manifest.jsonl")
+    if a.import_metadata:
+        collector.import_metadata(*a.import_metadata)
+    if a.reuse_pdf_dir:
+        collector.reuse_downloads(*a.reuse_pdf_dir)
     try:
         if a.validate_only:
             collector.validate()

@@ -13,6 +13,8 @@ VALIDATIONS = "name STRING, payload STRING, validated_at TIMESTAMP"
 API_CACHE = "url STRING, sha STRING, payload STRING, harvest_ts TIMESTAMP"
 FACET_VALUES = "field STRING, value STRING, count BIGINT, discovered_at TIMESTAMP"
 RECORD_SOURCES = "record_id STRING, source_path STRING, source_query_id STRING, compatibility_basis STRING, source_sha STRING, payload STRING, imported_at TIMESTAMP"
+REUSE_SOURCES = "source_dir STRING, manifest_sha STRING, imported_at TIMESTAMP, records BIGINT, files BIGINT"
+REUSED_FILES = "sha STRING, record_id STRING, is_site BOOLEAN, source_dir STRING"
 RATE_LIMITS = "observed_at TIMESTAMP, url STRING, status INT, retry_after STRING, blocked_until TIMESTAMP, wait_source STRING, evidence STRING"
 COOLDOWNS = "origin STRING, blocked_until TIMESTAMP, observed_at TIMESTAMP, url STRING, wait_source STRING"
 INVALID_RESPONSES = (

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import posixpath
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from gleaner.plans import schemas
 
@@ -54,6 +57,36 @@ def files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return tree.select("path", F.sha2("content", 256).alias("sha"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
+def files_sha(spark: SparkSession, path: str) -> str | None:
+    """One hash of the contents of a file, or of the parts of a folder in the order of their hashes; null if there is none."""
+    shas = F.array_sort(F.collect_list("sha"))  # a row per part
+    return files(spark, path, "[!_.]*").agg(F.when(F.size(shas) == 1, shas[0]).when(F.size(shas) > 1, F.sha2(F.array_join(shas, ""), 256)).alias("sha")).first()["sha"]
+
+
+def contents(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, content): the PDFs of another harvest, from its archive table or the files below raw/pdf."""
+    if _exists(spark, f"{folder}/archive"):
+        rows = spark.read.parquet(f"{folder}/archive")
+        return rows.select(F.concat(F.lit("raw/pdf/"), F.substring("sha", 1, 2), F.lit("/"), "sha", F.lit(".pdf")).alias("path"), F.col("content").cast("binary").alias("content"))
+    if not _exists(spark, f"{folder}/raw/pdf"):
+        return spark.createDataFrame([], "path string, content binary")
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    tree = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/raw/pdf")
+    return tree.select(F.expr(f"substring(path, {len(root) + 2})").alias("path"), "content")
+
+
+@F.pandas_udf(StringType())
+def contained(path: pd.Series) -> pd.Series:
+    """A relative path without its dots; null where it leaves its folder."""
+
+    def one(raw: str | None) -> str | None:
+        plain = posixpath.normpath((raw or "").replace("\\", "/"))
+        return None if not raw or plain in (".", "..") or plain.startswith(("/", "../")) else plain
+
+    return path.map(one).astype(object)
+
+
 def stored(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A stored table, empty if it is not there yet; columns that an older one lacks are null."""
     if not _exists(spark, path):

@@ -36,9 +36,9 @@ class _Requests(InputPartition):
 
 class SearchApi(DataSource):
     """Options: config (JSON), requests (JSON list of {filters, page, limit, facets}), agent, transport, interval_s,
-    last (epoch seconds of the request before), policy (JSON of status and text of the origin's robots.txt).
+    last (epoch seconds of the request before), policy (JSON of status and text of the origin's robots.txt), policies.
 
-    A policy that was asked for is a row of its own, with page 0. Requests after a 429 are not made.
+    With ``policies`` set to true a policy that was asked for is a row of its own, with page 0. Requests after a 429 are not made.
     """
 
     @classmethod
@@ -57,6 +57,7 @@ class SearchReader(DataSourceReader):
         self.config, self.requests = json.loads(options["config"]), json.loads(options["requests"])
         self.agent, self.transport = options.get("agent", "gleaner"), options.get("transport", _URLLIB)
         self.interval_s, self.last, self.policy = float(options.get("interval_s", 10)), float(options.get("last", 0)), json.loads(options.get("policy", "null"))
+        self.policies = options.get("policies") == "true"
 
     def partitions(self) -> list[InputPartition]:
         return [_Requests(tuple(self.requests))] if self.requests else []
@@ -78,7 +79,7 @@ class SearchReader(DataSourceReader):
                 body, wait = raw.decode("utf-8", "replace"), headers.get("retry-after")
             except FetchError as failure:
                 status, error, wait = failure.status, failure.code, failure.wait
-            for _, (at, answered, text) in client.bodies.items():
+            for at, answered, text in client.bodies.values() if self.policies else ():
                 yield None, 0, at, answered, None, text, None, None, utc_now()
             client.bodies.clear()
             sha = None if body is None else hashlib.sha256(body.encode()).hexdigest()
