@@ -407,9 +407,9 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
 
     # Whole sets are wide, so pairs that others connect are never compared.
     linked = similar(pairs.where("d = 1").select("u", "v"))
-    beyond = staged(apart_by(pairs.where("d > 1"), components(linked)), "beyond")
+    beyond = staged(apart_by(pairs.where("d > 1"), components(linked, spread_hubs=False)), "beyond")
     linked = linked.unionByName(similar(beyond))
-    roots = components(linked)
+    roots = components(linked, spread_hubs=False)
     large = staged(found.where("v IS NULL").select(F.col("u").alias("leaf")).distinct(), "large")
     if large.limit(1).count():
         rest = joined_small(placed(True), large, "leaf", "left_semi")
@@ -417,7 +417,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
         more = met(rest.withColumn("root", F.coalesce("root", "uid")), tasks, True).select("u", "v").distinct()
         sized = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"))
         more = staged(more.join(sized("u"), "u").join(sized("v"), "v"), "more")
-        roots = components(linked.unionByName(similar(staged(still_near(more).select("u", "v"), "compared"))))
+        roots = components(linked.unionByName(similar(staged(still_near(more).select("u", "v"), "compared"))), spread_hubs=False)
     rooted = nodes.join(roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "uid"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("members")).where("members > 1")
