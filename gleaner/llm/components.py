@@ -27,15 +27,20 @@ def _beside_least(edges: DataFrame, n: int, spread: bool) -> tuple[DataFrame, Da
     return marked.where("_m IS NOT NULL").withColumnRenamed("_m", "m").unionByName(others), least.select("u", "m")
 
 
-def components(edges: DataFrame, spread_hubs: bool = True) -> DataFrame:
+def components(edges: DataFrame, spread_hubs: bool = True, tasks: int | None = None) -> DataFrame:
     """(u, v): every node but the least of its component, with the component's least node.
 
     ``edges`` has columns u and v, in any direction, repeats and loops allowed. Each round is staged
     in the shared folder, so nothing is gathered on the driver and lost executors cost one round.
     Rounds go on until one changes nothing (about log of the longest shortest path). ``spread_hubs``
-    takes two broadcasts and a staged table a round; without it a node's edges meet in one task.
+    takes two broadcasts and a staged table a round; without it a node's edges meet in one task. Each
+    round is written by at most ``tasks`` tasks, each of which writes a file.
     """
-    now = staged(_ordered(edges), "edges")
+
+    def written(df: DataFrame) -> DataFrame:
+        return staged(df if tasks is None else df.coalesce(tasks), "edges")
+
+    now = written(_ordered(edges))
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -45,7 +50,7 @@ def components(edges: DataFrame, spread_hubs: bool = True) -> DataFrame:
             large = staged(large, "large")
         small, least = _beside_least(large, 2 * mark[0], spread_hubs)
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = staged(_ordered(small.unionByName(least.select("u", F.col("m").alias("v")))), "edges")
+        new = written(_ordered(small.unionByName(least.select("u", F.col("m").alias("v")))))
         before, mark = mark, _mark(new)
         for passed in (now, large) if spread_hubs else (now,):
             for folder in {f.rsplit("/", 1)[0] for f in passed.inputFiles()[:1]}:  # no files if it is empty

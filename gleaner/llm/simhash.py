@@ -35,23 +35,32 @@ from gleaner.llm.workspace import alone, joined_small, staged
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
-    """The 64-bit SimHash of a text, as a signed number."""
+def shingle_hashes(text: bytes, shingle: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of a text's shingles in order, repeats included; shorter texts count as one shingle."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = list(accumulate(map((1).__add__, map(len, words))))
     size = min(shingle, len(words))
     xxh64 = xxhash.xxh64_intdigest
-    hashes = [xxh64(joined[a : b - 1], seed) for a, b in zip([0, *ends], ends[size - 1 :])]
+    return np.array([xxh64(joined[a : b - 1], seed) for a, b in zip([0, *ends], ends[size - 1 :])], "<u8")
+
+
+def folded(hashes: np.ndarray) -> int:
+    """The 64-bit SimHash of hashes, as a signed number."""
     counts = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 1 << 16):  # bounds memory for long texts
-        some = np.array(hashes[k : k + (1 << 16)], "<u8").view(np.uint8).reshape(-1, 8)
+        some = hashes[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(some, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
 
+def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
+    """The 64-bit SimHash of a text, as a signed number."""
+    return folded(shingle_hashes(text, shingle, seed))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp) of every row."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
@@ -169,6 +178,8 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: in
     return joined_small(rows, member, "fp", "left").select(F.col("id").alias(id_col), "fp", F.coalesce("component_id", "id").alias("component_id"))
 
 
+FOLDS = [f"f{k}" for k in range(6)]  # fingerprints of a set in the search for near copies
+RADIUS = 5  # of that search: at most two bits of one half, which a pair of similarity 0.8 has in one of twelve halves with 0.77, of 0.9 with 0.99
 BITS = 768  # of a parity bitmap
 BITMAP = [f"s{k}" for k in range(BITS // 64)]
 LONG, LONG_BITS = 1000, 1 << 14  # sets beyond that size have a second, longer bitmap, as theirs of ``BITS`` is full
@@ -177,13 +188,69 @@ _SLACK = 1e-6  # of comparisons with products of a similarity: errors of roundin
 
 def shingle_set(text: bytes, shingle: int = 5, seed: int = 42) -> np.ndarray:
     """The distinct XXH64 hashes of a text's shingles, ascending; shorter texts count as one shingle."""
-    words = text.lower().split()
-    joined = b" ".join(words)
-    ends = [0, *accumulate(map((1).__add__, map(len, words)))]
-    size = max(1, min(shingle, len(words)))
-    xxh64 = xxhash.xxh64_intdigest
-    found = [xxh64(joined[a : b - 1], seed) for a, b in zip(ends, ends[size:])] or [xxh64(b"", seed)]
-    return np.unique(np.array(found, np.uint64).view(np.int64))
+    hashes = shingle_hashes(text, shingle, seed)
+    return np.unique((hashes if len(hashes) else np.array([xxhash.xxh64_intdigest(b"", seed)], np.uint64)).view(np.int64))
+
+
+def folds(hashes: np.ndarray) -> list[int]:
+    """Independent SimHash fingerprints, one for each of ``FOLDS``; the first is that of the hashes themselves."""
+    out, x = [], hashes.view(np.uint64)
+    for _ in FOLDS:
+        out.append(folded(x))
+        x = (x + _MIX) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(32)
+    return out
+
+
+def reached(keys: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): places of distinct ``keys`` that differ in at most ``radius`` bits, as a forest over their connected pieces; a flood as in ``pieces``."""
+    rest = np.arange(len(keys))
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while len(rest) > 1:
+        queue, rest = [rest[:1]], rest[1:]
+        while queue and len(rest):
+            for x in queue.pop():
+                near = np.bitwise_count(keys[rest] ^ keys[x]) <= radius
+                if near.any():
+                    a.append(np.full(near.sum(), x))
+                    b.append(rest[near])
+                    queue.append(rest[near])
+                    rest = rest[~near]
+    return np.concatenate(a), np.concatenate(b)
+
+
+def alike(texts: DataFrame, radius: int = RADIUS, leaf_rows: int = 8192, most_rows: int = 1 << 16) -> DataFrame:
+    """(u, v) texts that ``radius`` div 2 bits part in a half of one of their fingerprints, by the trees of ``links``.
+
+    ``texts`` has uid and ``FOLDS``, staged. A leaf reports a forest over such pairs, never all of a dense cluster.
+    """
+    depth, rows = 0, texts.count()
+    while rows * (1.27 / 2) ** depth > leaf_rows:
+        depth += 1
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            uid = batch.column("uid").to_numpy()
+            for k, name in enumerate(FOLDS):
+                fps = batch.column(name).to_numpy()
+                leaf, at = leaves(fps, depth, radius)
+                key = fps[at].view(np.uint64) >> (np.uint64(32) * (leaf & 1).astype(np.uint64)) & np.uint64(0xFFFFFFFF)
+                yield pa.RecordBatch.from_arrays([pa.array(leaf * len(FOLDS) + k), pa.array(key.astype(np.int64)), pa.array(uid[at])], ["leaf", "key", "uid"])
+
+    tasks = _dealt(texts.mapInArrow(place, "leaf long, key long, uid long"), "uid", most_rows)
+
+    def search(table: pa.Table) -> pa.Table:
+        key, uid = table.column("key").to_numpy().astype(np.uint32), table.column("uid").to_numpy()
+        order = np.lexsort((uid, key))
+        uid = uid[order]
+        keys, first, of = np.unique(key[order], return_index=True, return_inverse=True)
+        a, b = reached(keys, radius // 2)
+        u, v = np.concatenate([uid[first[of]], uid[first[a]]]), np.concatenate([uid, uid[first[b]]])
+        return pa.table({"u": np.minimum(u, v)[u != v], "v": np.maximum(u, v)[u != v]})
+
+    return tasks.groupBy("leaf", "i", "j").applyInArrow(search, "u long, v long").distinct()
 
 
 def bitmap(hashes: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -251,15 +318,19 @@ def _distinct(u: list[np.ndarray], v: list[np.ndarray], d: list[np.ndarray]) ->
     return [u[keep], v[keep], d[keep]]
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf_rows: int = 16, most_rows: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf_rows: int = 16, most_rows: int = 1 << 16, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, component_id) of every row, where rows link at a shingle similarity of ``similarity`` or more.
 
-    An exact join of sets, the Jaccard similarity of distinct shingles (known by their 64-bit hashes):
-    in one order of all shingles, rare ones first, two sets of that similarity share a shingle among
-    the first n - ceil(similarity n) + 1 of their n. Texts that share one meet in its group. Neighbours
+    First the SimHash search: texts whose fingerprints meet in the leaves of vantage-point trees are held
+    against each other, and what that links is not compared again. As some similar texts have no
+    fingerprints that near, an exact join of sets finds the rest. Similarity is Jaccard's, of distinct
+    shingles (known by their 64-bit hashes).
+
+    The join: in one order of all shingles, rare ones first, two sets of that similarity share a shingle
+    among the first n - ceil(similarity n) + 1 of their n. Texts that share one meet in its group. Neighbours
     there, by size, are compared first, then those at most ``leaf_rows`` apart that the links so far do not
-    connect; where a group has more, all others that are not connected are compared, too. Parity bitmaps reject pairs that are
-    surely apart, the whole sets decide. Equal sets are collapsed before. Groups estimated at over
+    connect; where a group has more, all others that are not connected are compared, too. Parity bitmaps
+    reject pairs that are surely apart, the whole sets decide. Equal sets are collapsed before. Groups estimated at over
     ``most_rows`` texts are cut into blocks whose pairs meet.
     """
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
@@ -271,18 +342,19 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
             for start in range(0, whole.num_rows, 250):  # bounds memory
                 batch = whole.slice(start, 250)
                 found = [shingle_set(t.as_py() or b"", shingle) for t in batch.column("text")]
+                fps = np.array([folds(x) for x in found], np.int64).reshape(-1, len(FOLDS))
                 key = [xxhash.xxh64_intdigest(x.tobytes()) for x in found]
                 bits = np.array([bitmap(x) for x in found]).reshape(-1, len(BITMAP))
                 ordered = [x[np.lexsort((x, _looked_up(known, texts, x)))] for x in found]
                 size = np.array([len(x) for x in found], np.int64)
                 member = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(np.concatenate(ordered)))
                 wide = pa.array([bitmap(x, LONG_BITS) if len(x) > LONG else None for x in found], pa.list_(pa.int64()))
-                columns = [np.array(key, np.uint64).view(np.int64), np.arange(uid, uid + len(found)), size, *bits.T]
+                columns = [np.array(key, np.uint64).view(np.int64), np.arange(uid, uid + len(found)), size, *fps.T, *bits.T]
                 uid += len(found)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns), member, wide], ["id", "key", "uid", "size", *BITMAP, "members", "wide"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns), member, wide], ["id", "key", "uid", "size", *FOLDS, *BITMAP, "members", "wide"])
         pa.default_memory_pool().release_unused()  # the worker lives on
 
-    long = [StructField(c, LongType()) for c in ["key", "uid", "size", *BITMAP]]
+    long = [StructField(c, LongType()) for c in ["key", "uid", "size", *FOLDS, *BITMAP]]
     shape = StructType([slim.schema["id"], *long, StructField("members", ArrayType(LongType())), StructField("wide", ArrayType(LongType()))])
     rows = staged(slim.mapInArrow(sets, shape), "sets")
     first = rows.groupBy("key").agg(F.min("id").alias("least"), F.min("uid").alias("uid"), F.count("*").alias("n"))
@@ -378,14 +450,19 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
         both = pairs.join(side("u"), "u").join(side("v"), "v")
         return staged(both.where(common * (1 + similarity) >= similarity * (F.col("un") + F.col("vn")) - _SLACK).select("u", "v"), "linked")
 
-    total = rows.agg(F.sum(F.col("size") * (1 - similarity) + 2)).first()[0] or 0
-    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(total) // 125_000 + 1)
-    found = staged(met(placed(False), tasks, False), "met")
-    pairs = found.where("v IS NOT NULL").groupBy("u", "v").agg(F.min("d").alias("d"))
-    side = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"), *(F.col(s).alias(c + s) for s in BITMAP))
-    apart = sum((F.bit_count(F.col("u" + s).bitwiseXOR(F.col("v" + s))) for s in BITMAP), F.lit(0))
-    near = apart * (1 + similarity) <= (1 - similarity) * (F.col("un") + F.col("vn")) + _SLACK
-    pairs = staged(pairs.join(side("u"), "u").join(side("v"), "v").where(near).select("u", "v", "d", "un", "vn"), "near")
+    def apart_by(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """The pairs that the roots do not connect."""
+        for c in ("u", "v"):
+            own = roots.select(F.col("u").alias(c), F.col("v").alias("r" + c))
+            pairs = joined_small(pairs, own, c, "left").withColumn("r" + c, F.coalesce("r" + c, c))
+        return pairs.where("ru <> rv").drop("ru", "rv")
+
+    def near_by_bits(pairs: DataFrame) -> DataFrame:
+        """The staged pairs that the bitmaps do not reject, with the sizes un and vn."""
+        side = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"), *(F.col(s).alias(c + s) for s in BITMAP))
+        apart = sum((F.bit_count(F.col("u" + s).bitwiseXOR(F.col("v" + s))) for s in BITMAP), F.lit(0))
+        near = apart * (1 + similarity) <= (1 - similarity) * (F.col("un") + F.col("vn")) + _SLACK
+        return staged(pairs.join(side("u"), "u").join(side("v"), "v").where(near).select(*pairs.columns, "un", "vn"), "near")
 
     def still_near(pairs: DataFrame) -> DataFrame:
         """The pairs without those of long sets that their longer bitmaps reject."""
@@ -396,28 +473,33 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
         kept = pairs.where(long).join(side("u"), "u").join(side("v"), "v").where(near).select(pairs.columns)
         return pairs.where(~long).unionByName(kept)
 
-    pairs = staged(still_near(pairs), "candidates")
+    def joined_up(edges: DataFrame) -> DataFrame:
+        return components(edges, spread_hubs=False, tasks=few)
 
-    def apart_by(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """The pairs that the roots do not connect."""
-        for c in ("u", "v"):
-            own = roots.select(F.col("u").alias(c), F.col("v").alias("r" + c))
-            pairs = joined_small(pairs, own, c, "left").withColumn("r" + c, F.coalesce("r" + c, c))
-        return pairs.where("ru <> rv").select("u", "v")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    few = max(cores, nodes.count() // 50_000 + 1)  # tasks, and so files, of tables of pairs
+    # The fingerprints search first, whole sets decide.
+    alike_by = near_by_bits(alike(staged(texts_of.select("uid", *FOLDS), "fingerprints"), radius))
+    roots = joined_up(similar(staged(still_near(alike_by).select("u", "v").coalesce(few), "proposed")))
+
+    total = rows.agg(F.sum(F.col("size") * (1 - similarity) + 2)).first()[0] or 0
+    tasks = max(cores, int(total) // 125_000 + 1)
+    found = staged(met(placed(False), tasks, False).groupBy("u", "v").agg(F.min("d").alias("d")), "met")
+    pairs = apart_by(found.where("v IS NOT NULL"), roots)
+    pairs = staged(still_near(near_by_bits(pairs)), "candidates")
 
     # Whole sets are wide, so pairs that others connect are never compared.
-    linked = similar(pairs.where("d = 1").select("u", "v"))
-    beyond = staged(apart_by(pairs.where("d > 1"), components(linked, spread_hubs=False)), "beyond")
-    linked = linked.unionByName(similar(beyond))
-    roots = components(linked, spread_hubs=False)
-    large = staged(found.where("v IS NULL").select(F.col("u").alias("leaf")).distinct(), "large")
+    roots = joined_up(roots.unionByName(similar(pairs.where("d = 1").select("u", "v"))))
+    beyond = staged(apart_by(pairs.where("d > 1").select("u", "v"), roots).coalesce(few), "beyond")
+    roots = joined_up(roots.unionByName(similar(beyond)))
+    large = staged(found.where("v IS NULL").select(F.col("u").alias("leaf")).distinct().coalesce(few), "large")
     if large.limit(1).count():
         rest = joined_small(placed(True), large, "leaf", "left_semi")
         rest = joined_small(rest, roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
         more = met(rest.withColumn("root", F.coalesce("root", "uid")), tasks, True).select("u", "v").distinct()
         sized = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"))
         more = staged(more.join(sized("u"), "u").join(sized("v"), "v"), "more")
-        roots = components(linked.unionByName(similar(staged(still_near(more).select("u", "v"), "compared"))), spread_hubs=False)
+        roots = joined_up(roots.unionByName(similar(staged(still_near(more).select("u", "v"), "compared"))))
     rooted = nodes.join(roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "uid"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("members")).where("members > 1")

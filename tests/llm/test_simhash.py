@@ -177,3 +177,46 @@ def test_rows_of_one_id_are_judged_apart(spark):
     want = sorted(map(str, [rows[0], rows[1], *rows[3:7]]))
     for similarity in (None, 0.8):
         assert sorted(str(tuple(r)) for r in simhash.keep_one(docs, similarity).collect()) == want
+
+
+def test_alike_meets_every_pair(spark):
+    """Texts with two bits or fewer apart in a half of a fingerprint are connected, and only they, at all depths."""
+    r = np.random.default_rng(9)
+    fps = r.integers(0, 1 << 63, (160, len(simhash.FOLDS)), dtype=np.int64)
+    near = r.integers(0, 1 << 63, (160, len(simhash.FOLDS)), dtype=np.int64)
+    for i in range(160):
+        k, flips = r.integers(0, len(simhash.FOLDS)), r.choice(63, 3, replace=False)
+        near[i, k] = fps[i, k] ^ sum(1 << int(x) for x in flips)
+    fps = np.concatenate([fps, near, fps[:3]])
+    halves = np.stack([fps.view(np.uint64) & np.uint64(0xFFFFFFFF), fps.view(np.uint64) >> np.uint64(32)], 2).reshape(len(fps), -1)
+    close = {(j, i) for i in range(len(fps)) for j in range(i) if (np.bitwise_count(halves[i] ^ halves[j]) <= 2).any()}
+    want = union(close, range(len(fps)))
+    assert len(close) > 150
+    texts = spark.createDataFrame([(i, *x) for i, x in enumerate(fps.tolist())], ["uid", *simhash.FOLDS])
+    for leaf_rows, most_rows in ((8192, 1 << 16), (40, 1 << 16), (40, 30)):
+        got = [tuple(x) for x in simhash.alike(texts, leaf_rows=leaf_rows, most_rows=most_rows).collect()]
+        assert set(got) <= close and union(got, range(len(fps))) == want
+
+
+def test_near_copies_come_through_the_fingerprints(spark, monkeypatch):
+    """The trees find most links, and the join of sets compares no pair that they connect."""
+    rng, rows = random.Random(14), []
+    for i in range(60):
+        text = [f"w{rng.randrange(10**5)}" for _ in range(300)]
+        rows.append((2 * i, " ".join(text)))
+        for at in rng.sample(range(300), 2):
+            text[at] = "edit"
+        rows.append((2 * i + 1, " ".join(text)))
+    tables, real = {}, simhash.staged
+
+    def staged(df, name):
+        tables.setdefault(name, []).append(out := real(df, name))
+        return out
+
+    monkeypatch.setattr(simhash, "staged", staged)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    assert got == {d: d - d % 2 for d, _ in rows}
+    first = {tuple(sorted(x)) for x in tables["linked"][0].collect()}
+    assert len(first) >= 57
+    assert not first & {(min(r.u, r.v), max(r.u, r.v)) for r in tables["candidates"][0].collect()}
