@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from gleaner.llm.components import components
-from gleaner.llm.workspace import alone, joined_small, staged
+from gleaner.llm.workspace import alone, give_back, joined_small, small_batches, staged
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -221,13 +221,14 @@ def reached(keys: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b)
 
 
-def alike(texts: DataFrame, radius: int = RADIUS, leaf_rows: int = 8192, most_rows: int = 1 << 16) -> DataFrame:
+def alike(texts: DataFrame, radius: int = RADIUS, leaf_rows: int = 12_000, most_rows: int = 1 << 16) -> DataFrame:
     """(u, v) texts that ``radius`` div 2 bits part in a half of one of their fingerprints, by the trees of ``links``.
 
-    ``texts`` has uid and ``FOLDS``, staged. A leaf reports a forest over such pairs, never all of a dense cluster.
+    ``texts`` has uid and ``FOLDS``, staged. Each half has trees over its own halves: their smaller slack
+    makes fewer replicas, which grow with the power 1.35 of the texts (1.53 with one tree a half). A leaf reports a forest over such pairs, never all of a dense cluster.
     """
     depth, rows = 0, texts.count()
-    while rows * (1.27 / 2) ** depth > leaf_rows:
+    while rows * (1.2 / 2) ** depth > leaf_rows:
         depth += 1
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,9 +236,10 @@ def alike(texts: DataFrame, radius: int = RADIUS, leaf_rows: int = 8192, most_ro
             uid = batch.column("uid").to_numpy()
             for k, name in enumerate(FOLDS):
                 fps = batch.column(name).to_numpy()
-                leaf, at = leaves(fps, depth, radius)
-                key = fps[at].view(np.uint64) >> (np.uint64(32) * (leaf & 1).astype(np.uint64)) & np.uint64(0xFFFFFFFF)
-                yield pa.RecordBatch.from_arrays([pa.array(leaf * len(FOLDS) + k), pa.array(key.astype(np.int64)), pa.array(uid[at])], ["leaf", "key", "uid"])
+                for half in (0, 1):
+                    key = (fps.view(np.uint64) >> np.uint64(32 * half) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                    leaf, at = leaves(key, depth, radius // 2, 16)
+                    yield pa.RecordBatch.from_arrays([pa.array((2 * leaf + half) * len(FOLDS) + k), pa.array(key[at]), pa.array(uid[at])], ["leaf", "key", "uid"])
 
     tasks = _dealt(texts.mapInArrow(place, "leaf long, key long, uid long"), "uid", most_rows)
 
@@ -307,15 +309,17 @@ def group_pairs(leaf: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity:
         yield d, a[near], b[near]
 
 
-def _distinct(u: list[np.ndarray], v: list[np.ndarray], d: list[np.ndarray]) -> list[np.ndarray]:
-    """Each pair once, with the least of its distances."""
-    u, v, d = (np.concatenate(x) for x in (u, v, d))
+def _pair_batches(u: list[np.ndarray], v: list[np.ndarray], most_rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Each pair once, in batches that take little memory beside the heap where they arrive."""
+    u, v = np.concatenate(u), np.concatenate(v)
     u, v = np.minimum(u, v), np.maximum(u, v)
-    order = np.lexsort((d, v, u))
-    u, v, d = u[order], v[order], d[order]
+    order = np.lexsort((v, u))
+    u, v = u[order], v[order]
     keep = np.ones(len(u), bool)
     keep[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
-    return [u[keep], v[keep], d[keep]]
+    u, v = u[keep], v[keep]
+    for a in range(0, len(u), most_rows):
+        yield pa.RecordBatch.from_arrays([pa.array(u[a : a + most_rows]), pa.array(v[a : a + most_rows])], ["u", "v"])
 
 
 def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf_rows: int = 16, most_rows: int = 1 << 16, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -327,8 +331,8 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
     shingles (known by their 64-bit hashes).
 
     The join: in one order of all shingles, rare ones first, two sets of that similarity share a shingle
-    among the first n - ceil(similarity n) + 1 of their n. Texts that share one meet in its group. Neighbours
-    there, by size, are compared first, then those at most ``leaf_rows`` apart that the links so far do not
+    among the first n - ceil(similarity n) + 1 of their n. Texts that share one meet in its group. Those at
+    most ``leaf_rows`` apart there, by size, are compared first, unless the fingerprints' links already
     connect; where a group has more, all others that are not connected are compared, too. Parity bitmaps
     reject pairs that are surely apart, the whole sets decide. Equal sets are collapsed before. Groups estimated at over
     ``most_rows`` texts are cut into blocks whose pairs meet.
@@ -352,11 +356,12 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                 columns = [np.array(key, np.uint64).view(np.int64), np.arange(uid, uid + len(found)), size, *fps.T, *bits.T]
                 uid += len(found)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns), member, wide], ["id", "key", "uid", "size", *FOLDS, *BITMAP, "members", "wide"])
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        give_back()
 
     long = [StructField(c, LongType()) for c in ["key", "uid", "size", *FOLDS, *BITMAP]]
     shape = StructType([slim.schema["id"], *long, StructField("members", ArrayType(LongType())), StructField("wide", ArrayType(LongType()))])
-    rows = staged(slim.mapInArrow(sets, shape), "sets")
+    with small_batches(docs.sparkSession, 250):  # texts go out, longer sets come back
+        rows = staged(slim.mapInArrow(sets, shape), "sets")
     first = rows.groupBy("key").agg(F.min("id").alias("least"), F.min("uid").alias("uid"), F.count("*").alias("n"))
     nodes = staged(first, "nodes")
     equal = staged(rows.select("uid").join(nodes.select("uid"), "uid", "left_anti"), "equal")
@@ -385,10 +390,10 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                         row.append(np.full(len(some), k))
                 none = np.zeros(0, np.int64)
                 leaf, row, pos = (np.concatenate([none, *x]) for x in (leaf, row, pos))
-                for a in range(0, len(row), 100_000):
-                    at = pa.array(row[a : a + 100_000])
-                    columns = [pa.array(leaf[a : a + 100_000]), *(batch.column(c).take(at) for c in ["uid", "size"])]
-                    columns += [pa.array(pos[a : a + 100_000]), *(batch.column(c).take(at) for c in more)]
+                for a in range(0, len(row), 20_000):
+                    at = pa.array(row[a : a + 20_000])
+                    columns = [pa.array(leaf[a : a + 20_000]), *(batch.column(c).take(at) for c in ["uid", "size"])]
+                    columns += [pa.array(pos[a : a + 20_000]), *(batch.column(c).take(at) for c in more)]
                     yield pa.RecordBatch.from_arrays(columns, ["leaf", "uid", "size", "pos", *more])
 
         shape = StructType([StructField(c, LongType()) for c in ["leaf", "uid", "size", "pos", *more]])
@@ -397,7 +402,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
         return texts_of.select("uid", "size", first.alias("members"), *more).mapInArrow(run, shape)
 
     def met(groups: DataFrame, tasks: int, second: bool) -> DataFrame:
-        """(u, v, d) that may be similar, d apart in a group; in the first round also (leaf, null, null) of groups that have more."""
+        """(u, v) that may be similar; in the first round also (leaf, null) of groups that have more."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batches = [b for b in batches if b.num_rows]
@@ -409,7 +414,7 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
             leaf, uid, size, pos = (get(c)[order] for c in ["leaf", "uid", "size", "pos"])
             if second:
                 root, bits = get("root")[order], np.stack([get(c)[order] for c in BITMAP], 1).view(np.uint64)
-            u, v, far, held, large = [], [], [], 0, []
+            u, v, held, large = [], [], 0, []
             for d, a, b in group_pairs(leaf, size, pos, similarity):
                 if not second and d > leaf_rows:
                     large.append(leaf[a])
@@ -422,24 +427,23 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                         near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) * (1 + similarity) <= (1 - similarity) * (size[x] + size[y]) + _SLACK
                         u.append(uid[x[near]])
                         v.append(uid[y[near]])
-                        far.append(np.full(len(u[-1]), d))
                         held += len(u[-1])
                 else:
                     u.append(uid[a])
                     v.append(uid[b])
-                    far.append(np.full(len(a), d))
                     held += len(a)
                 if held > 500_000:  # bounds memory
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in _distinct(u, v, far)], ["u", "v", "d"])
-                    u, v, far, held = [], [], [], 0
+                    yield from _pair_batches(u, v)
+                    u, v, held = [], [], 0
             if u:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _distinct(u, v, far)], ["u", "v", "d"])
+                yield from _pair_batches(u, v)
             if large:
                 more = np.unique(np.concatenate(large))
-                none = pa.nulls(len(more), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(more), none, none], ["u", "v", "d"])
+                yield pa.RecordBatch.from_arrays([pa.array(more), pa.nulls(len(more), pa.int64())], ["u", "v"])
+            del table, order, leaf, uid, size, pos, u, v, batches
+            give_back()
 
-        return groups.repartition(tasks, "leaf").mapInArrow(run, "u long, v long, d long")
+        return groups.repartition(tasks, "leaf").mapInArrow(run, "u long, v long")
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The staged (u, v) whose sets are that similar."""
@@ -484,19 +488,16 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
 
     total = rows.agg(F.sum(F.col("size") * (1 - similarity) + 2)).first()[0] or 0
     tasks = max(cores, int(total) // 125_000 + 1)
-    found = staged(met(placed(False), tasks, False).groupBy("u", "v").agg(F.min("d").alias("d")), "met")
-    pairs = apart_by(found.where("v IS NOT NULL"), roots)
+    found = staged(met(placed(False), tasks, False).distinct(), "met")
+    pairs = apart_by(found.where("v IS NOT NULL"), roots)  # whole sets are wide: what is connected is not compared
     pairs = staged(still_near(near_by_bits(pairs)), "candidates")
 
-    # Whole sets are wide, so pairs that others connect are never compared.
-    roots = joined_up(roots.unionByName(similar(pairs.where("d = 1").select("u", "v"))))
-    beyond = staged(apart_by(pairs.where("d > 1").select("u", "v"), roots).coalesce(few), "beyond")
-    roots = joined_up(roots.unionByName(similar(beyond)))
+    roots = joined_up(roots.unionByName(similar(pairs.select("u", "v"))))
     large = staged(found.where("v IS NULL").select(F.col("u").alias("leaf")).distinct().coalesce(few), "large")
     if large.limit(1).count():
         rest = joined_small(placed(True), large, "leaf", "left_semi")
         rest = joined_small(rest, roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
-        more = met(rest.withColumn("root", F.coalesce("root", "uid")), tasks, True).select("u", "v").distinct()
+        more = met(rest.withColumn("root", F.coalesce("root", "uid")), tasks, True).distinct()
         sized = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"))
         more = staged(more.join(sized("u"), "u").join(sized("v"), "v"), "more")
         roots = joined_up(roots.unionByName(similar(staged(still_near(more).select("u", "v"), "compared"))))
@@ -519,7 +520,7 @@ def keep_one(docs: DataFrame, similarity: float | None = None, radius: int = 3,
     if similarity is None:
         found = alone(lambda: near_duplicates(named, radius, shingle, id_col="_row", text_col=text_col), "judged")
     else:
-        found = alone(lambda: near_copies(named, similarity, shingle, id_col="_row", text_col=text_col), "judged")
+        found = alone(lambda: near_copies(named, similarity, shingle, id_col="_row", text_col=text_col), "judged", "snappy")  # its tables are many, and zstd works outside the heap
     copies = staged(found.where("_row <> component_id").select(F.col("_row").alias("_copy")).distinct(), "copies")
     kept = joined_small(named, copies, F.col("_row") == F.col("_copy"), "left_anti")
     again = found.where("_row = component_id").groupBy("_row").count().where("count > 1").select(F.col("_row").alias("_again"))

@@ -8,16 +8,19 @@ as in tests, a temporary folder of the driver stands in for it.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local: dict[str, str] = {}
 _scratch: list[list[str]] = []  # paths of the tables staged within each open ``alone``, the innermost last
+_codec = ["zstd"]  # of staged tables; the innermost ``alone`` last
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -69,25 +72,37 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     if _scratch:
         _scratch[-1].append(path)
     with small_batches(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", _codec[-1]).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
-    """Stage what ``make`` returns and delete the tables that it staged on its way."""
+def alone(make: Callable[[], DataFrame], name: str, codec: str = "zstd") -> DataFrame:
+    """Stage what ``make`` returns and delete the tables that it staged on its way, in ``codec``."""
     _scratch.append([])
+    _codec.append(codec)
     try:
         made = make()
         passed = _scratch.pop()
     except BaseException:
         _scratch.pop()
         raise
+    finally:
+        _codec.pop()
     out = staged(made, name)
     for path in passed:
         remove(out.sparkSession, path)
     return out
 
 
+def give_back() -> None:
+    """Return free memory to the system: a worker process lives on beside its executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not of every C library
+        pass
+
+
 def joined_small(big: DataFrame, small: DataFrame, on, how: str, most_rows: int = 200_000) -> DataFrame:
     """Join with a staged ``small`` side: broadcast if it has at most ``most_rows`` rows, else shuffle both.
 

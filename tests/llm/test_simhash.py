@@ -220,3 +220,11 @@ def test_near_copies_come_through_the_fingerprints(spark, monkeypatch):
     first = {tuple(sorted(x)) for x in tables["linked"][0].collect()}
     assert len(first) >= 57
     assert not first & {(min(r.u, r.v), max(r.u, r.v)) for r in tables["candidates"][0].collect()}
+
+
+def test_pairs_go_in_small_batches():
+    """Pairs found in a task, repeats left out, reach the executor in batches that are small beside its memory."""
+    u, v = np.arange(50_000), np.arange(50_000) + 7
+    found = list(simhash._pair_batches([u, v], [v, u]))
+    assert max(b.num_rows for b in found) <= 20_000
+    assert sorted(x for b in found for x in b.column("u").to_pylist()) == u.tolist()
