@@ -183,6 +183,8 @@ RADIUS = 5  # of that search: at most two bits of one half, which a pair of simi
 BITS = 768  # of a parity bitmap
 BITMAP = [f"s{k}" for k in range(BITS // 64)]
 LONG, LONG_BITS = 1000, 1 << 14  # sets beyond that size have a second, longer bitmap, as theirs of ``BITS`` is full
+PLACE = ["leaf", "uid", "size", "pos", "root"]  # of a text in the group of a shingle
+HEADS = [f"h{k}" for k in range(4)]  # first groups of a text that it shares
 _SLACK = 1e-6  # of comparisons with products of a similarity: errors of rounding never drop a pair
 
 
@@ -309,6 +311,70 @@ def group_pairs(leaf: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity:
         yield d, a[near], b[near]
 
 
+def own_bits(n: int) -> int:
+    """Length of the bitmap that tells sets of n members from unrelated ones: a power of two, over half of n."""
+    return min(LONG_BITS, max(1024, 1 << ceil(0.55 * n - 1).bit_length()))
+
+
+def shortened(words: np.ndarray, start: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps of powers of two words, ``length`` of ``words`` from ``start``, as those of ``width`` words: their halves are added up."""
+    out = words[start[:, None] + np.arange(width)]
+    for k in range(width, int(length.max(initial=0)), width):
+        longer = np.flatnonzero(length > k)
+        out[longer] ^= words[start[longer, None] + k + np.arange(width)]
+    return out
+
+
+def fresh_pairs(leaf: np.ndarray, root: np.ndarray, size: np.ndarray, bits: np.ndarray, own: tuple[np.ndarray, np.ndarray, np.ndarray], heads: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs (a, b) that are not connected, that no bitmap rejects and that no other group reports.
+
+    Two texts that have one of their ``heads`` in common meet in its group, too, so of all the groups
+    that they share only that with the least such head reports them.
+    """
+    fresh = root[a] != root[b]
+    a, b = a[fresh], b[fresh]
+    both = heads[a][:, :, None] == heads[b][:, None, :]
+    least = np.where(both, heads[a][:, :, None], np.iinfo(np.int64).max).min(axis=(1, 2), initial=np.iinfo(np.int64).max)
+    here = ~both.any(axis=(1, 2)) | (least == leaf[a])
+    a, b = a[here], b[here]
+    most = (1 - similarity) * (size[a] + size[b]) + _SLACK
+    near = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1) * (1 + similarity) <= most
+    a, b, most = a[near], b[near], most[near]
+    words, start, length = own
+    width, near = np.minimum(length[a], length[b]), np.ones(len(a), bool)
+    for w in np.unique(width[width > 0]).tolist():
+        some = np.flatnonzero(width == w)
+        for at in np.array_split(some, len(some) * w // 1_000_000 + 1):  # bounds memory
+            x, y = (shortened(words, start[c[at]], length[c[at]], w) for c in (a, b))
+            near[at] = np.bitwise_count(x ^ y).sum(axis=1) * (1 + similarity) <= most[at]
+    return a[near], b[near]
+
+
+def _wide_groups(leaf: np.ndarray, size: np.ndarray, root: np.ndarray, leaf_rows: int, similarity: float) -> np.ndarray:
+    """Whether a row's group has sizes alike over ``leaf_rows`` apart and is not all of one root; sorted by leaf and size."""
+    group = np.concatenate([[0], np.cumsum(leaf[1:] != leaf[:-1])])
+    first = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1]]))
+    mixed = np.minimum.reduceat(root, first) < np.maximum.reduceat(root, first)
+    a = np.arange(max(0, len(leaf) - leaf_rows - 1))
+    b = a + leaf_rows + 1
+    wide = np.zeros(len(first), bool)
+    wide[group[a[(leaf[a] == leaf[b]) & (size[a] >= similarity * size[b] - _SLACK)]]] = True
+    return (wide & mixed)[group]
+
+
+def _pair_batches(u: list[np.ndarray], v: list[np.ndarray], most_rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Each pair once, in batches that take little memory beside the heap where they arrive."""
+    u, v = np.concatenate(u), np.concatenate(v)
+    u, v = np.minimum(u, v), np.maximum(u, v)
+    order = np.lexsort((v, u))
+    u, v = u[order], v[order]
+    keep = np.ones(len(u), bool)
+    keep[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
+    u, v = u[keep], v[keep]
+    for a in range(0, len(u), most_rows):
+        yield pa.RecordBatch.from_arrays([pa.array(u[a : a + most_rows]), pa.array(v[a : a + most_rows])], ["u", "v"])
+
+
 def _pair_batches(u: list[np.ndarray], v: list[np.ndarray], most_rows: int = 20_000) -> Iterator[pa.RecordBatch]:
     """Each pair once, in batches that take little memory beside the heap where they arrive."""
     u, v = np.concatenate(u), np.concatenate(v)
@@ -331,11 +397,12 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
     shingles (known by their 64-bit hashes).
 
     The join: in one order of all shingles, rare ones first, two sets of that similarity share a shingle
-    among the first n - ceil(similarity n) + 1 of their n. Texts that share one meet in its group. Those at
-    most ``leaf_rows`` apart there, by size, are compared first, unless the fingerprints' links already
-    connect; where a group has more, all others that are not connected are compared, too. Parity bitmaps
-    reject pairs that are surely apart, the whole sets decide. Equal sets are collapsed before. Groups estimated at over
-    ``most_rows`` texts are cut into blocks whose pairs meet.
+    among the first n - ceil(similarity n) + 1 of their n. Texts that share one meet in its group. A group
+    first reports its texts that have a partner there, never their pairs: one within ``leaf_rows`` places by
+    size (a group with sizes alike farther apart reports all its texts) that sizes and places allow and the
+    fingerprints' links do not connect. Only these texts get their parity bitmaps and meet again; bitmaps
+    reject what is surely apart where they meet, the whole sets decide. Equal sets are collapsed before.
+    Groups estimated at over ``most_rows`` texts are cut into blocks whose pairs meet.
     """
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     known, texts = _frequent(slim, shingle)
@@ -353,13 +420,14 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                 size = np.array([len(x) for x in found], np.int64)
                 member = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(np.concatenate(ordered)))
                 wide = pa.array([bitmap(x, LONG_BITS) if len(x) > LONG else None for x in found], pa.list_(pa.int64()))
+                own = pa.array([bitmap(x, own_bits(len(x))) if len(x) > LONG else None for x in found], pa.list_(pa.int64()))
                 columns = [np.array(key, np.uint64).view(np.int64), np.arange(uid, uid + len(found)), size, *fps.T, *bits.T]
                 uid += len(found)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns), member, wide], ["id", "key", "uid", "size", *FOLDS, *BITMAP, "members", "wide"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns), member, wide, own], ["id", "key", "uid", "size", *FOLDS, *BITMAP, "members", "wide", "own"])
         give_back()
 
     long = [StructField(c, LongType()) for c in ["key", "uid", "size", *FOLDS, *BITMAP]]
-    shape = StructType([slim.schema["id"], *long, StructField("members", ArrayType(LongType())), StructField("wide", ArrayType(LongType()))])
+    shape = StructType([slim.schema["id"], *long, *(StructField(c, ArrayType(LongType())) for c in ["members", "wide", "own"])])
     with small_batches(docs.sparkSession, 250):  # texts go out, longer sets come back
         rows = staged(slim.mapInArrow(sets, shape), "sets")
     first = rows.groupBy("key").agg(F.min("id").alias("least"), F.min("uid").alias("uid"), F.count("*").alias("n"))
@@ -367,9 +435,10 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
     equal = staged(rows.select("uid").join(nodes.select("uid"), "uid", "left_anti"), "equal")
     texts_of = joined_small(rows, equal, "uid", "left_anti")
 
-    def placed(with_bits: bool) -> DataFrame:
-        """(leaf, uid, size, pos, bitmap) of the first shingles of each set; leaves are shingles, or pairs of their blocks."""
-        more = BITMAP if with_bits else []
+    at_leaf = StructType([StructField(c, LongType()) for c in PLACE])
+
+    def placed(roots: DataFrame) -> DataFrame:
+        """(leaf, uid, size, pos, root) of the first shingles of each set; leaves are shingles, or pairs of their blocks."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in (b.slice(a, 500) for b in batches for a in range(0, b.num_rows, 500)):
@@ -392,55 +461,67 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
                 leaf, row, pos = (np.concatenate([none, *x]) for x in (leaf, row, pos))
                 for a in range(0, len(row), 20_000):
                     at = pa.array(row[a : a + 20_000])
-                    columns = [pa.array(leaf[a : a + 20_000]), *(batch.column(c).take(at) for c in ["uid", "size"])]
-                    columns += [pa.array(pos[a : a + 20_000]), *(batch.column(c).take(at) for c in more)]
-                    yield pa.RecordBatch.from_arrays(columns, ["leaf", "uid", "size", "pos", *more])
+                    uid, size, root = (batch.column(c).take(at) for c in ["uid", "size", "root"])
+                    yield pa.RecordBatch.from_arrays([pa.array(leaf[a : a + 20_000]), uid, size, pa.array(pos[a : a + 20_000]), root], PLACE)
 
-        shape = StructType([StructField(c, LongType()) for c in ["leaf", "uid", "size", "pos", *more]])
         # Only the first members, those of ``prefix_length``, go to Python.
         first = F.expr(f"slice(members, 1, least(size, size - ceil({similarity}D * size - {_SLACK}D) + 1))")
-        return texts_of.select("uid", "size", first.alias("members"), *more).mapInArrow(run, shape)
+        own = roots.select(F.col("u").alias("uid"), F.col("v").alias("root"))
+        slim = joined_small(texts_of.select("uid", "size", first.alias("members")), own, "uid", "left")
+        return slim.withColumn("root", F.coalesce("root", "uid")).mapInArrow(run, at_leaf)
 
-    def met(groups: DataFrame, tasks: int, second: bool) -> DataFrame:
-        """(u, v) that may be similar; in the first round also (leaf, null) of groups that have more."""
+    def sorted_columns(batches: list[pa.RecordBatch]) -> tuple[pa.Table, list[np.ndarray]]:
+        """The rows by leaf, size and uid, and their ``PLACE``."""
+        table = pa.Table.from_batches(batches)
+        table = table.take(pa.array(np.lexsort([table.column(c).to_numpy() for c in ["uid", "size", "leaf"]])))
+        return table, [table.column(c).to_numpy() for c in PLACE]
+
+    def sharing(groups: DataFrame, tasks: int) -> DataFrame:
+        """The rows of ``groups`` that have a partner in their leaf."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batches = [b for b in batches if b.num_rows]
             if not batches:
                 return
-            table = pa.Table.from_batches(batches)
-            get = lambda c: table.column(c).to_numpy()
-            order = np.lexsort((get("uid"), get("size"), get("leaf")))
-            leaf, uid, size, pos = (get(c)[order] for c in ["leaf", "uid", "size", "pos"])
-            if second:
-                root, bits = get("root")[order], np.stack([get(c)[order] for c in BITMAP], 1).view(np.uint64)
-            u, v, held, large = [], [], 0, []
+            table, (leaf, uid, size, pos, root) = sorted_columns(batches)
+            shares = _wide_groups(leaf, size, root, leaf_rows, similarity)
             for d, a, b in group_pairs(leaf, size, pos, similarity):
-                if not second and d > leaf_rows:
-                    large.append(leaf[a])
-                    continue
-                if second:
-                    fresh = root[a] != root[b] if d > leaf_rows else np.zeros(len(a), bool)
-                    a, b = a[fresh], b[fresh]
-                    for k in range(0, len(a), 100_000):
-                        x, y = a[k : k + 100_000], b[k : k + 100_000]
-                        near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) * (1 + similarity) <= (1 - similarity) * (size[x] + size[y]) + _SLACK
-                        u.append(uid[x[near]])
-                        v.append(uid[y[near]])
-                        held += len(u[-1])
-                else:
-                    u.append(uid[a])
-                    v.append(uid[b])
-                    held += len(a)
+                if d > leaf_rows:
+                    break
+                fresh = root[a] != root[b]
+                shares[a[fresh]] = shares[b[fresh]] = True
+            yield from table.filter(pa.array(shares)).combine_chunks().to_batches(20_000)
+            del table, leaf, uid, size, pos, root, batches
+            give_back()
+
+        return groups.repartition(tasks, "leaf").mapInArrow(run, at_leaf)
+
+    def met(groups: DataFrame, tasks: int) -> DataFrame:
+        """(u, v) of ``groups`` that may be similar."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            batches = [b for b in batches if b.num_rows]
+            if not batches:
+                return
+            table, (leaf, uid, size, pos, root) = sorted_columns(batches)
+            bits, heads = (np.stack([table.column(c).to_numpy() for c in columns], 1) for columns in (BITMAP, HEADS))
+            bits = bits.view(np.uint64)  # bits of negative numbers would be counted without their sign
+            lists = table.column("own").combine_chunks()
+            length = lists.value_lengths().fill_null(0).to_numpy()
+            own = lists.flatten().to_numpy().view(np.uint64), np.cumsum(length) - length, length
+            u, v, held = [], [], 0
+            for _, a, b in group_pairs(leaf, size, pos, similarity):
+                for k in range(0, len(a), 100_000):
+                    x, y = fresh_pairs(leaf, root, size, bits, own, heads, a[k : k + 100_000], b[k : k + 100_000], similarity)
+                    u.append(uid[x])
+                    v.append(uid[y])
+                    held += len(x)
                 if held > 500_000:  # bounds memory
                     yield from _pair_batches(u, v)
                     u, v, held = [], [], 0
-            if u:
+            if held:
                 yield from _pair_batches(u, v)
-            if large:
-                more = np.unique(np.concatenate(large))
-                yield pa.RecordBatch.from_arrays([pa.array(more), pa.nulls(len(more), pa.int64())], ["u", "v"])
-            del table, order, leaf, uid, size, pos, u, v, batches
+            del table, leaf, uid, size, pos, root, bits, heads, lists, own, u, v, batches
             give_back()
 
         return groups.repartition(tasks, "leaf").mapInArrow(run, "u long, v long")
@@ -454,13 +535,6 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
         both = pairs.join(side("u"), "u").join(side("v"), "v")
         return staged(both.where(common * (1 + similarity) >= similarity * (F.col("un") + F.col("vn")) - _SLACK).select("u", "v"), "linked")
 
-    def apart_by(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """The pairs that the roots do not connect."""
-        for c in ("u", "v"):
-            own = roots.select(F.col("u").alias(c), F.col("v").alias("r" + c))
-            pairs = joined_small(pairs, own, c, "left").withColumn("r" + c, F.coalesce("r" + c, c))
-        return pairs.where("ru <> rv").drop("ru", "rv")
-
     def near_by_bits(pairs: DataFrame) -> DataFrame:
         """The staged pairs that the bitmaps do not reject, with the sizes un and vn."""
         side = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"), *(F.col(s).alias(c + s) for s in BITMAP))
@@ -488,19 +562,13 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, leaf
 
     total = rows.agg(F.sum(F.col("size") * (1 - similarity) + 2)).first()[0] or 0
     tasks = max(cores, int(total) // 125_000 + 1)
-    found = staged(met(placed(False), tasks, False).distinct(), "met")
-    pairs = apart_by(found.where("v IS NOT NULL"), roots)  # whole sets are wide: what is connected is not compared
-    pairs = staged(still_near(near_by_bits(pairs)), "candidates")
-
-    roots = joined_up(roots.unionByName(similar(pairs.select("u", "v"))))
-    large = staged(found.where("v IS NULL").select(F.col("u").alias("leaf")).distinct().coalesce(few), "large")
-    if large.limit(1).count():
-        rest = joined_small(placed(True), large, "leaf", "left_semi")
-        rest = joined_small(rest, roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
-        more = met(rest.withColumn("root", F.coalesce("root", "uid")), tasks, True).distinct()
-        sized = lambda c: rows.select(F.col("uid").alias(c), F.col("size").alias(c + "n"))
-        more = staged(more.join(sized("u"), "u").join(sized("v"), "v"), "more")
-        roots = joined_up(roots.unionByName(similar(staged(still_near(more).select("u", "v"), "compared"))))
+    shared = staged(sharing(placed(roots), tasks), "met")
+    order = F.array_sort(F.collect_list(F.struct("pos", "leaf")))
+    heads = shared.groupBy("uid").agg(F.slice(order, 1, len(HEADS)).alias("heads"))
+    heads = heads.select("uid", *(F.col("heads")[F.least(F.lit(k), F.size("heads") - 1)]["leaf"].alias(c) for k, c in enumerate(HEADS)))
+    again = shared.join(heads.join(rows.select("uid", *BITMAP, "own"), "uid"), "uid")
+    pairs = staged(met(again, max(cores, shared.count() // 50_000 + 1)).distinct(), "candidates")
+    roots = joined_up(roots.unionByName(similar(pairs)))
     rooted = nodes.join(roots.select(F.col("u").alias("uid"), F.col("v").alias("root")), "uid", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "uid"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("members")).where("members > 1")

@@ -228,3 +228,75 @@ def test_pairs_go_in_small_batches():
     found = list(simhash._pair_batches([u, v], [v, u]))
     assert max(b.num_rows for b in found) <= 20_000
     assert sorted(x for b in found for x in b.column("u").to_pylist()) == u.tolist()
+
+
+def seen_tables(monkeypatch):
+    """Staged tables by name, as they are written."""
+    tables, real = {}, simhash.staged
+
+    def staged(df, name):
+        tables.setdefault(name, []).append(out := real(df, name))
+        return out
+
+    monkeypatch.setattr(simhash, "staged", staged)
+    return tables
+
+
+def test_rows_of_groups_grow_with_their_texts(spark, monkeypatch):
+    """Groups of a shingle report texts, not pairs: four times as many in a group make about four times the rows."""
+    monkeypatch.setattr(simhash, "_frequent", lambda *_: (np.zeros(0, np.int64), np.zeros(0, np.int64)))  # no sample knows them
+    rng, made = random.Random(21), []
+    for texts in (4, 16):
+        rows = []
+        for group in range(8):
+            shared = [f"s{rng.randrange(10**6)}" for _ in range(60)]
+            rows += [(len(rows) + k, " ".join([f"w{rng.randrange(10**6)}" for _ in range(140)] + shared)) for k in range(texts)]
+        tables = seen_tables(monkeypatch)
+        got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == {d: d for d, _ in rows}
+        made.append(tables["met"][0].count())
+        assert tables["candidates"][0].count() == 0
+    assert made[0] > 0 and made[1] <= 6 * made[0]
+
+
+def test_the_join_alone_finds_every_link(spark, monkeypatch):
+    """Without the trees, at all lengths of bitmaps and sizes of groups, against brute force."""
+    monkeypatch.setattr(simhash, "alike", lambda texts, *_: texts.select(texts.uid.alias("u"), texts.uid.alias("v")).where("false"))
+    rng, rows = random.Random(22), []
+    for n in (60, 150, 900, 1100, 1900, 3800) * 3:
+        base = [f"w{rng.randrange(10**5)}" for _ in range(n)]
+        for _ in range(4):
+            text = list(base)
+            for _ in range(max(1, int(n * rng.choice([0.005, 0.01, 0.02, 0.025])))):
+                text[rng.randrange(len(text))] = f"w{rng.randrange(10**5)}"
+            rows.append((len(rows), " ".join(text[: len(text) - rng.randrange(1 + n // 12)])))
+    sets = [shingles(t) for _, t in rows]
+    want = union([(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])], range(len(rows)))
+    assert 20 < len(set(want.values())) < len(rows) - 15
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for known in (True, False):
+        if not known:
+            monkeypatch.setattr(simhash, "_frequent", lambda *_: (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+        for leaf_rows in (1, 16):
+            assert {r.doc_id: r.component_id for r in simhash.near_copies(docs, leaf_rows=leaf_rows).collect()} == want
+
+
+def test_groups_with_farther_partners_report_all_texts():
+    leaf, size, root = np.array([-5, -5, -5, -5, 3, 3, 3, 9]), np.array([80, 81, 82, 100, 10, 50, 90, 7]), np.arange(8)
+    assert simhash._wide_groups(leaf, size, root, 2, 0.8).tolist() == [True] * 4 + [False] * 4
+    assert not simhash._wide_groups(leaf, size, np.zeros(8, int), 2, 0.8).any()
+    assert not simhash._wide_groups(leaf, size, root, 9, 0.8).any()
+
+
+def test_own_bitmaps_bound_differences():
+    """Bitmaps of different lengths, made one length, never differ in more bits than the sets in members."""
+    r = np.random.default_rng(23)
+    for n, m in ((1001, 1250), (1861, 1862), (3700, 4400), (14_000, 60_000)):
+        a = np.unique(r.integers(-(1 << 63), (1 << 63) - 1, n))
+        for b in (np.unique(np.concatenate([a[n // 10 :], r.integers(0, 1 << 62, m - n)])), np.unique(r.integers(0, 1 << 62, m))):
+            bits = [simhash.bitmap(x, simhash.own_bits(len(x))) for x in (a, b)]
+            length = np.array([len(x) for x in bits])
+            words, w = np.concatenate(bits).view(np.uint64), int(length.min())
+            x, y = (simhash.shortened(words, np.array([s]), length[k : k + 1], w) for k, s in enumerate([0, length[0]]))
+            assert (x[0] == simhash.bitmap(a, 64 * w).view(np.uint64)).all() and (y[0] == simhash.bitmap(b, 64 * w).view(np.uint64)).all()
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
